@@ -74,7 +74,7 @@ def match_products(a: DataFrame, b: DataFrame, block: str, max_dist: int = 1) ->
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("_key", F.explode(F.transform(
-            near_keys(F.col("_name"), max_dist), F.xxhash64)))
+            near_keys(F.col("_name"), max_dist), lambda s: F.xxhash64(s))))
 
     pairs = (keyed(rest).alias("x").join(keyed(names_b).alias("y"), [block, "_key"])
              .select(block, F.col("x._name").alias("_name"), "match_id",

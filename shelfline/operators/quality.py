@@ -6,7 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType, DataType, MapType, NumericType, StringType, StructField, StructType,
+)
 
 from shelfline.functions.ordered import exact_quantiles
 
@@ -161,7 +163,7 @@ def split_corrupt(df: DataFrame, column: str, schema: StructType) -> tuple[DataF
     Parsed rows hold the fields of ``schema`` in place of the text. Bad syntax
     and wrong types go to the corrupt side with their whole text.
     """
-    wide = StructType(schema.fields).add(CORRUPT, StringType())
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     parsed = df.withColumn("_json", F.from_json(column, wide, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     bad = F.col(f"_json.{CORRUPT}").isNotNull()

@@ -68,3 +68,12 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_events(load(spark, sf_dir, "events"))
+
+
+def retailers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The own chain and its competitors, one row each."""
+    ids = load(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") % 5).alias("retailer_id")).distinct()
+    return ids.select("retailer_id", F.when(F.col("retailer_id") == OWN, "OWN").otherwise(
+        F.concat(F.lit("COMP_"), F.col("retailer_id").cast("string"))).alias("retailer"),
+        (F.col("retailer_id") == OWN).alias("is_own"))

@@ -13,7 +13,7 @@ _TYPES = {
 }
 
 
-def _schema(columns: str) -> StructType:
+def schema_of(columns: str) -> StructType:
     """Schema from "name type, ..."; works before any session exists."""
     schema = StructType()
     for column in columns.split(","):
@@ -22,27 +22,27 @@ def _schema(columns: str) -> StructType:
     return schema
 
 
-PRICE_OBSERVATION = _schema(
+PRICE_OBSERVATION = schema_of(
     "product_id bigint, retailer_id bigint, observed_at timestamp, price double, "
     "order_id bigint, line_no int")
-PRODUCT = _schema(
+PRODUCT = schema_of(
     "product_id bigint, name string, brand string, category string, "
     "list_price double, pack_size int")
-SALE = _schema(
+SALE = schema_of(
     "order_id bigint, line_no int, product_id bigint, retailer_id bigint, "
     "sold_at timestamp, qty double, amount double, discount double, net_price double, "
     "is_promo boolean, category string, brand string")
-PROMOTION = _schema(
+PROMOTION = schema_of(
     "promo_id string, category string, depth double, start_at timestamp, end_at timestamp")
-MARKET_TREND = _schema("category string, month timestamp, market_price double")
-PRICE_EVENT = _schema(
+MARKET_TREND = schema_of("category string, month timestamp, market_price double")
+PRICE_EVENT = schema_of(
     "event_id bigint, event_time timestamp, topic string, product_id bigint, "
     "retailer_id bigint, new_price double, payload string")
 # Landed event files carry the raw columns of the event table.
-EVENT_FILE = _schema(
+EVENT_FILE = schema_of(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string")
-ALERT = _schema(
+ALERT = schema_of(
     "product_id bigint, retailer_id bigint, event_id bigint, event_time timestamp, "
     "old_price double, new_price double, pct double")
 
