@@ -8,6 +8,7 @@ from shelfline.functions.numbers import tidy
 from shelfline.operators.normalize import standardize_market
 from shelfline.sources.topics import price_events
 
+EVENTS = "events.parquet"
 OWN = 0
 COMPETITORS = (1, 2, 3, 4)
 

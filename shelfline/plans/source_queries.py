@@ -87,7 +87,7 @@ def _topic_query(topic: str):
 
     @query(name, sql("event", f"{_TOPIC_SQL} WHERE topic = '{topic}'"))
     def topic_events(spark, d):
-        found = topics.read_topic(spark, topic, f"{d}/events.parquet", streaming=False)
+        found = topics.read_topic(spark, topic, d, streaming=False, pattern=fx.EVENTS)
         return found.withColumn("event_time", second("event_time"))
 
 
@@ -97,7 +97,7 @@ for _topic in ("price-changes", "promotion-events", "market-trends"):
 
 @query("all_events", sql("event", _TOPIC_SQL))
 def all_events(spark, d):
-    parts = [topics.read_topic(spark, t, f"{d}/events.parquet", streaming=False)
+    parts = [topics.read_topic(spark, t, d, streaming=False, pattern=fx.EVENTS)
              for t in topics.TOPIC_OF_TYPE.values()]
     return topics.all_events(*parts).withColumn("event_time", second("event_time"))
 

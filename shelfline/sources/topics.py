@@ -27,30 +27,29 @@ def price_events(events: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str, streaming: bool = True,
-                files_per_trigger: int | None = None) -> DataFrame:
-    """All raw events of a folder of landed files."""
-    if not streaming:
-        return spark.read.schema(EVENT_FILE).parquet(path)
-    reader = spark.readStream.schema(EVENT_FILE)
-    if files_per_trigger:
+def read_events(spark: SparkSession, folder: str, streaming: bool = True,
+                files_per_trigger: int | None = None, pattern: str = "*.parquet") -> DataFrame:
+    """All raw events of the files in a folder whose names fit ``pattern``."""
+    reader = spark.readStream if streaming else spark.read
+    if streaming and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.schema(EVENT_FILE).option("pathGlobFilter", pattern).parquet(folder)
 
 
-def read_topic(spark: SparkSession, topic: str, path: str | None = None,
+def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
                servers: str | None = None, streaming: bool = True,
-               per_trigger: int | None = None, **options) -> DataFrame:
+               per_trigger: int | None = None, pattern: str = "*.parquet",
+               **options) -> DataFrame:
     """Events of one topic in the price_event contract.
 
     With ``servers`` the topic is read from a broker and the message value is
-    parsed as JSON; with ``path`` landed files are replayed. ``per_trigger``
+    parsed as JSON; with ``folder`` landed files are replayed. ``per_trigger``
     limits a micro-batch: offsets for a broker, files for a folder.
     """
     if topic not in TOPICS[:3]:
         raise ValueError(f"unknown input topic {topic!r}")
     if servers is None:
-        events = price_events(read_events(spark, path, streaming, per_trigger))
+        events = price_events(read_events(spark, folder, streaming, per_trigger, pattern))
         return events.filter(F.col("topic") == topic)
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, **options}
     if per_trigger and streaming:
