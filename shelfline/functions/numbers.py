@@ -18,8 +18,21 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum as DECIMAL, so the total does not depend on the order of rows."""
-    return F.sum(value.cast("decimal(18,2)")).cast("double")
+    """Exact sum of amounts in whole cents, independent of the order of rows.
+
+    Counted in a BIGINT, which holds 9e16 of the currency; more raises an error.
+    """
+    return F.sum(F.rint(value * 100).cast("bigint")) / F.lit(100)
+
+
+def fine_sum(value: Column) -> Column:
+    """Exact sum in ten-thousandths as DECIMAL(30,0), for products of price and quantity."""
+    return F.sum(F.rint(value * 10_000).cast("bigint").cast("decimal(20,0)"))
+
+
+def from_fine(total: Column) -> Column:
+    """A ``fine_sum`` as a double in units."""
+    return total.cast("double") / F.lit(10_000)
 
 
 def share_of(condition: Column) -> Column:

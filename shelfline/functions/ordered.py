@@ -30,14 +30,15 @@ GROUP_ROWS = 4_000_000
 _ACCURACY = 10_000
 
 
-def _edges(df: DataFrame, order: Sequence[str], n: int) -> list[list]:
-    """Distinct quantile edges of each order column, found in one aggregate."""
+def _edges(df: DataFrame, order: Sequence[str], n: int, *totals: Column) -> tuple[list, list]:
+    """Distinct quantile edges of each order column and some totals, in one aggregate."""
     probs = [i / n for i in range(1, n)]
     row = df.agg(
         *[F.percentile_approx(c, probs, max(_ACCURACY, 20 * n)).alias(f"e{i}")
-          for i, c in enumerate(order)]
-    ).first()
-    return [sorted(set(found or [])) for found in row]
+          for i, c in enumerate(order)],
+        *[t.alias(f"t{i}") for i, t in enumerate(totals)]).first()
+    cut = len(order)
+    return [sorted(set(found or [])) for found in row[:cut]], list(row[cut:])
 
 
 def _against(value: Column, marks: list) -> tuple[Column, Column]:
@@ -98,7 +99,7 @@ class OrderedGroups:
                        [F.col(k).eqNullSafe(F.lit(r[k])) for k in self.keys])
                 for r in found])
             n = _levels(n, len(self.order))
-            cut = _slice(self.order, _edges(df.filter(self.hot), self.order, n))
+            cut = _slice(self.order, _edges(df.filter(self.hot), self.order, n)[0])
             self.slice = F.when(self.hot, cut).otherwise(F.lit(-1).cast("bigint"))
 
     def _sliced(self, df: DataFrame) -> DataFrame:
@@ -155,31 +156,34 @@ class OrderedGroups:
 
 
 def number_rows(df: DataFrame, orders: dict[str, tuple[str, bool]], tie: str,
-                keys: Sequence[str] = (), running: dict[str, str] | None = None) -> DataFrame:
+                keys: Sequence[str] = (), running: dict[str, str] | None = None,
+                totals: dict[str, Column] | None = None) -> DataFrame:
     """Exact row numbers along global (or per-key) orders, cut into slices.
 
     ``orders`` maps a new column to (value column, ascending); ties are broken
     by ``tie`` ascending, which must be unique. ``running`` maps new columns to
-    measures summed so far along the first order. The input is written once and
-    read by every step; slice summaries are the only thing a single window sees.
+    measures summed so far along the first order, ``totals`` new columns to aggregates
+    over all rows. The input is written once and read by every step; slice summaries
+    are the only thing a single window sees.
     """
-    keys, running = list(keys), dict(running or {})
+    keys, running, totals = list(keys), dict(running or {}), dict(totals or {})
     base = kept(df)
     n = _levels(width(df.sparkSession), 2)
     values = [value for value, _ in orders.values()]
-    marks = _edges(base, [*values, tie], n)
-    out, names = base, list(df.columns)
+    marks, whole = _edges(base, [*values, tie], n, *totals.values())
+    out = base.select("*", *[F.lit(t).alias(name) for name, t in zip(totals, whole)])
+    names = out.columns
     for i, (name, (value, ascending)) in enumerate(orders.items()):
         piece = _slice([value, tie], [marks[i], marks[-1]], () if ascending else (value,))
         extra = running if i == 0 else {}
         before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice")
                   .rowsBetween(Window.unboundedPreceding, -1))
-        totals = {"_n": F.count(F.lit(1)), **{f"_s{j}": F.sum(m) for j, m in
-                                              enumerate(extra.values())}}
+        sums = {"_n": F.count(F.lit(1)),
+                **{f"_s{j}": F.sum(m) for j, m in enumerate(extra.values())}}
         offsets = (base.groupBy(*keys, piece.alias("_slice"))
-                   .agg(*[agg.alias(t) for t, agg in totals.items()])
+                   .agg(*[agg.alias(t) for t, agg in sums.items()])
                    .select(*keys, "_slice",
-                           *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(t) for t in totals]))
+                           *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(t) for t in sums]))
         within = (Window.partitionBy(*keys, "_slice")
                   .orderBy(F.col(value) if ascending else F.col(value).desc(), F.col(tie)))
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -212,7 +216,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     counted = kept(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                    .agg(F.count(F.lit(1)).alias("_copies")))
     n = _levels(width(df.sparkSession), 1)
-    piece = _slice([value], _edges(counted, [value], n))
+    piece = _slice([value], _edges(counted, [value], n)[0])
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice")
     offsets = (counted.groupBy(*keys, piece.alias("_slice")).agg(F.sum("_copies").alias("_n"))
                .select(*keys, "_slice",

@@ -70,11 +70,10 @@ def product_performance(sales: DataFrame) -> DataFrame:
     """
     totals = product_totals(sales).withColumn("_money", F.col("revenue").cast("decimal(28,6)"))
     placed = number_rows(totals, {"place": ("revenue", False)}, tie="product_id",
-                         running={"_so_far": "_money"})
-    whole = totals.agg(F.sum("_money")).scalar()
-    return (placed.withColumn("share", ratio(F.col("_money"), whole))
-            .withColumn("cumulative_share", ratio(F.col("_so_far"), whole))
-            .drop("_money", "_so_far"))
+                         running={"_so_far": "_money"}, totals={"_whole": F.sum("_money")})
+    return (placed.withColumn("share", ratio(F.col("_money"), F.col("_whole")))
+            .withColumn("cumulative_share", ratio(F.col("_so_far"), F.col("_whole")))
+            .drop("_money", "_so_far", "_whole"))
 
 
 def price_demand_corr(sales: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame:

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.functions.numbers import ratio
+from shelfline.functions.numbers import fine_sum, from_fine, ratio
 
 
 def revenue(qty: str = "qty", price: str = "net_price") -> Column:
-    """Exact revenue sum, independent of row order."""
-    return F.sum((F.col(qty) * F.col(price)).cast("decimal(20,6)")).cast("double")
+    """Exact revenue sum, independent of the order of rows."""
+    return from_fine(fine_sum(F.col(qty) * F.col(price)))
 
 
 def attribute(sales: DataFrame, promos: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def promo_cube(sales: DataFrame) -> DataFrame:
     """
     cells = sales.groupBy("category", F.col("discount").alias("depth")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("qty").alias("units"),
-        F.sum((F.col("qty") * F.col("net_price")).cast("decimal(20,6)")).alias("money"))
+        fine_sum(F.col("qty") * F.col("net_price")).alias("money"))
     return (cells.cube("category", "depth")
             .agg(F.grouping_id().cast("int").alias("level"), F.sum("n").alias("n"),
-                 F.sum("units").alias("units"), F.sum("money").cast("double").alias("revenue")))
+                 F.sum("units").alias("units"), from_fine(F.sum("money")).alias("revenue")))

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import (
-    ArrayType, DataType, MapType, NumericType, StringType, StructField, StructType,
+    ArrayType, DataType, IntegralType, MapType, NumericType, StringType, StructField, StructType,
 )
 
 from shelfline.functions.ordered import exact_quantiles
@@ -20,6 +20,21 @@ def _castable(have: DataType, want: DataType) -> bool:
     return have == want or not (isinstance(have, nested) or isinstance(want, nested))
 
 
+def _cast(have: DataType, want: StructField) -> Column:
+    """The column as its contract type, null where the value does not fit.
+
+    A failing cast to a whole number costs an exception per row, so text that is
+    none is sorted out by its look first.
+    """
+    value = F.col(want.name)
+    if have == want.dataType:
+        return value
+    cast = value.try_cast(want.dataType)
+    if isinstance(have, StringType) and isinstance(want.dataType, IntegralType):
+        return F.when(value.rlike(r"^\s*[+-]?\d+\s*$"), cast)
+    return cast
+
+
 def conform(df: DataFrame, schema: StructType, allow_new: bool = False) -> DataFrame:
     """Columns of the contract in order, cast to its types.
 
@@ -33,8 +48,7 @@ def conform(df: DataFrame, schema: StructType, allow_new: bool = False) -> DataF
     wrong = [f.name for f in schema if not _castable(df.schema[f.name].dataType, f.dataType)]
     if wrong:
         raise ValueError(f"columns of another nested type: {', '.join(wrong)}")
-    fixed = [F.col(f.name) if df.schema[f.name].dataType == f.dataType
-             else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    fixed = [_cast(df.schema[f.name].dataType, f).alias(f.name) for f in schema]
     extra = [c for c in df.columns if c not in schema.names] if allow_new else []
     return df.select(*fixed, *extra)
 

@@ -26,10 +26,10 @@ def rfm_score(rfm: DataFrame, tiles: int = 5) -> DataFrame:
     Equal to ``ntile`` over the whole table, without its single-task window.
     """
     placed = number_rows(rfm, {"_r": ("recency", False), "_f": ("frequency", True),
-                               "_m": ("monetary", True)}, tie="product_id")
-    rows = rfm.agg(F.count(F.lit(1))).scalar()
+                               "_m": ("monetary", True)}, tie="product_id",
+                         totals={"_rows": F.count(F.lit(1))})
     return placed.select(*rfm.columns, *[
-        tile(F.col(place), rows, tiles).alias(score)
+        tile(F.col(place), F.col("_rows"), tiles).alias(score)
         for place, score in (("_r", "r_score"), ("_f", "f_score"), ("_m", "m_score"))])
 
 

@@ -36,15 +36,19 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem").select(
+def sale_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without product attributes, for operators that need none."""
+    return load(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"), (F.col("l_suppkey") % 5).alias("retailer_id"),
         F.col("l_shipdate").cast("timestamp").alias("sold_at"),
         F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("amount"),
         F.col("l_discount").alias("discount"),
     )
-    return lines.join(products(spark, sf_dir), "product_id").select(
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sale_lines(spark, sf_dir).join(products(spark, sf_dir), "product_id").select(
         "order_id", "line_no", "product_id", "retailer_id", "sold_at", "qty", "amount",
         "discount", (F.col("list_price") * (1 - F.col("discount"))).alias("net_price"),
         (F.col("discount") > 0).alias("is_promo"), "category", "brand",

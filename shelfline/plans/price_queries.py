@@ -190,14 +190,14 @@ AS_OF = "2001-12-31"
     SELECT product_id, CAST(recency AS INTEGER) AS recency, frequency, T(monetary) AS monetary
     FROM rfm"""))
 def rfm_values(spark, d):
-    return rounded(rfm.rfm(fx.sales(spark, d), AS_OF), "monetary")
+    return rounded(rfm.rfm(fx.sale_lines(spark, d), AS_OF), "monetary")
 
 
 @query("rfm_score", sql("scored", """
     SELECT product_id, CAST(recency AS INTEGER) AS recency, frequency, T(monetary) AS monetary,
            r_score, f_score, m_score FROM scored"""))
 def rfm_score(spark, d):
-    return rounded(rfm.rfm_score(rfm.rfm(fx.sales(spark, d), AS_OF)), "monetary")
+    return rounded(rfm.rfm_score(rfm.rfm(fx.sale_lines(spark, d), AS_OF)), "monetary")
 
 
 @query("rfm_segment", sql("scored", """
@@ -210,5 +210,5 @@ def rfm_score(spark, d):
                          ELSE 'steady' END AS segment FROM scored) AS s
     GROUP BY segment"""))
 def rfm_segment(spark, d):
-    scored = rfm.rfm_score(rfm.rfm(fx.sales(spark, d), AS_OF))
+    scored = rfm.rfm_score(rfm.rfm(fx.sale_lines(spark, d), AS_OF))
     return rounded(rfm.segment_sizes(rfm.rfm_segment(scored)), "monetary")

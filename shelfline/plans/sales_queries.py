@@ -378,7 +378,7 @@ def promotion_kpis(spark, d):
 def product_kpis(spark, d):
     sold = fx.sales(spark, d)
     out = serve.product_kpis(product.product_performance(sold),
-                             rfm.rfm_score(rfm.rfm(sold, AS_OF)), product.best_sellers(sold, 10))
+                             rfm.rfm_score(rfm.rfm(fx.sale_lines(spark, d), AS_OF)), product.best_sellers(sold, 10))
     return rounded(out, "revenue", "paid_price", "share", "cumulative_share")
 
 

@@ -38,6 +38,7 @@ def detect_changes(stream: DataFrame) -> DataFrame:
     source so that a busy key fits a task. An event that arrives in a later batch
     than its successor is compared with the newer price.
     """
+    import numpy as np
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -48,15 +49,22 @@ def detect_changes(stream: DataFrame) -> DataFrame:
 
         def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame],
                             timerValues: Any) -> Iterator[pd.DataFrame]:
-            batch = pd.concat([r[["event_id", "event_time", "new_price"]] for r in rows])
-            batch = batch.sort_values(["event_time", "event_id"])
-            old = batch["new_price"].shift(1)
-            if self.last.exists():
-                old.iloc[0] = self.last.get()[0]
-            self.last.update((float(batch["new_price"].iloc[-1]),))
-            out = batch.assign(product_id=key[0], retailer_id=key[1], old_price=old)
-            out["pct"] = ((out["new_price"] - old) / old.where(old != 0))
-            yield out[old.notna()][ALERT.names]
+            parts = [[r[c].to_numpy() for c in ("event_time", "event_id", "new_price")]
+                     for r in rows]
+            at, ids, price = (np.concatenate(p) for p in zip(*parts))
+            order = np.lexsort((ids, at))
+            at, ids, price = at[order], ids[order], price[order]
+            known = self.last.get()
+            old = np.concatenate(([known[0] if known else np.nan], price[:-1]))
+            self.last.update((float(price[-1]),))
+            first = 0 if known else 1
+            if len(price) > first:
+                old, price = old[first:], price[first:]
+                pct = np.divide(price - old, old, where=old != 0,
+                                out=np.full(len(old), np.nan))
+                yield pd.DataFrame({
+                    "product_id": key[0], "retailer_id": key[1], "event_id": ids[first:],
+                    "event_time": at[first:], "old_price": old, "new_price": price, "pct": pct})
 
         def close(self) -> None:
             pass
