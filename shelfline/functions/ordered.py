@@ -6,7 +6,7 @@ group to one task, so a key with a third of all rows would stall a cluster. The
 helpers here cut such groups along their order into slices:
 
 * Slice edges are approximate quantiles of the order columns. They come to the
-  driver as at most ``width`` values per order column and enter the plan as
+  driver as at most 2,048 values per order column and enter the plan as
   literals, so every branch and every retried task sees the same slices. Edges
   only balance the work; results are exact whatever the edges are.
 * A row strictly between two edges shares its slice with about 1/width of the
@@ -19,7 +19,7 @@ helpers here cut such groups along their order into slices:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,27 +27,40 @@ from shelfline.session import kept, width
 
 # A group of up to this many rows is left to a plain window.
 GROUP_ROWS = 4_000_000
-_ACCURACY = 10_000
+# Rows looked at per edge when edges are sought.
+_LOOK = 2_000
+# Most edges per order column.
+_MOST = 2_048
 
 
-def _edges(df: DataFrame, order: Sequence[str], n: int, *totals: Column) -> tuple[list, list]:
-    """Distinct quantile edges of each order column and some totals, in one aggregate."""
+def _edges(df: DataFrame, order: Sequence[str], n: int, rows: int) -> list[list]:
+    """Distinct approximate quantiles that cut each order column into ``n`` parts.
+
+    Found in one aggregate over about ``_LOOK`` x ``n`` of the ``rows``, so that the sketches
+    of all tasks together stay small. Edges never decide a result.
+    """
+    if rows > _LOOK * n:
+        df = df.sample(_LOOK * n / rows, seed=7)
     probs = [i / n for i in range(1, n)]
-    row = df.agg(
-        *[F.percentile_approx(c, probs, max(_ACCURACY, 20 * n)).alias(f"e{i}")
-          for i, c in enumerate(order)],
-        *[t.alias(f"t{i}") for i, t in enumerate(totals)]).first()
-    cut = len(order)
-    return [sorted(set(found or [])) for found in row[:cut]], list(row[cut:])
+    found = df.agg(*[F.percentile_approx(c, probs, max(1_000, 8 * n)).alias(f"e{i}")
+                     for i, c in enumerate(order)]).first()
+    return [sorted(set(marks or [])) for marks in found]
 
 
 def _against(value: Column, marks: list) -> tuple[Column, Column]:
-    """(number of edges below the value, whether it lies on an edge)."""
+    """(number of edges below the value, whether it lies on an edge).
+
+    Looks first among every k-th edge and then between two of those.
+    """
     if not marks:
         return F.lit(0), F.lit(False)
     points = F.array(*[F.lit(m) for m in marks])
-    return (F.size(F.filter(points, lambda e: e < value)),
-            F.exists(points, lambda e: e == value))
+    step = max(1, isqrt(len(marks)))
+    coarse = F.array(*[F.lit(m) for m in marks[::step]])
+    start = F.greatest(F.size(F.filter(coarse, lambda e: e < value)) - 1, F.lit(0)) * step
+    below = start + F.size(F.filter(F.slice(points, start + 1, step), lambda e: e < value))
+    equal = F.coalesce(F.try_element_at(points, below + 1) == value, F.lit(False))
+    return below, equal
 
 
 def _slice(order: Sequence[str], edges: list[list], descending: Sequence[str] = ()) -> Column:
@@ -70,7 +83,7 @@ def _slice(order: Sequence[str], edges: list[list], descending: Sequence[str] =
 
 def _levels(n: int, columns: int) -> int:
     """Edges per column such that the slice number fits a BIGINT."""
-    return max(2, min(n, int((2**62) ** (1 / columns) / 2) - 1, 512))
+    return max(2, min(n, int((2**62) ** (1 / columns) / 2) - 1, _MOST))
 
 
 class OrderedGroups:
@@ -93,14 +106,15 @@ class OrderedGroups:
         bound = max(group_rows, (top["rows"] or 0) // n)
         self.hot: Column | None = None
         if (top["top"] or 0) > bound:
-            found = counts.filter(F.col("_rows") > bound).select(*self.keys).collect()
-            self.hot = reduce(lambda a, b: a | b, [
-                reduce(lambda a, b: a & b,
-                       [F.col(k).eqNullSafe(F.lit(r[k])) for k in self.keys])
+            found = counts.filter(F.col("_rows") > bound).collect()
+            kinds = {k: df.schema[k].dataType for k in self.keys}
+            self.hot = F.struct(*self.keys).isin(*[
+                F.struct(*[F.lit(r[k]).cast(kinds[k]).alias(k) for k in self.keys])
                 for r in found])
             n = _levels(n, len(self.order))
-            cut = _slice(self.order, _edges(df.filter(self.hot), self.order, n)[0])
-            self.slice = F.when(self.hot, cut).otherwise(F.lit(-1).cast("bigint"))
+            marks = _edges(df.filter(self.hot), self.order, n, sum(r["_rows"] for r in found))
+            self.slice = F.when(self.hot, _slice(self.order, marks)).otherwise(
+                F.lit(-1).cast("bigint"))
 
     def _sliced(self, df: DataFrame) -> DataFrame:
         return kept(df.withColumn("_slice", self.slice))
@@ -170,7 +184,9 @@ def number_rows(df: DataFrame, orders: dict[str, tuple[str, bool]], tie: str,
     base = kept(df)
     n = _levels(width(df.sparkSession), 2)
     values = [value for value, _ in orders.values()]
-    marks, whole = _edges(base, [*values, tie], n, *totals.values())
+    *whole, rows = base.agg(*[t.alias(name) for name, t in totals.items()],
+                            F.count(F.lit(1)).alias("_rows")).first()
+    marks = _edges(base, [*values, tie], n, rows)
     out = base.select("*", *[F.lit(t).alias(name) for name, t in zip(totals, whole)])
     names = out.columns
     for i, (name, (value, ascending)) in enumerate(orders.items()):
@@ -216,7 +232,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     counted = kept(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                    .agg(F.count(F.lit(1)).alias("_copies")))
     n = _levels(width(df.sparkSession), 1)
-    piece = _slice([value], _edges(counted, [value], n)[0])
+    piece = _slice([value], _edges(counted, [value], n, counted.count()))
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice")
     offsets = (counted.groupBy(*keys, piece.alias("_slice")).agg(F.sum("_copies").alias("_n"))
                .select(*keys, "_slice",

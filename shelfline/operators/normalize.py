@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.functions.numbers import ratio
 from shelfline.functions.text import canonical_name, near_keys, parse_pack
+from shelfline.session import kept
 
 
 def normalize_price(df: DataFrame, rates: DataFrame, tax_rate: float = 0.1) -> DataFrame:
@@ -16,7 +17,7 @@ def normalize_price(df: DataFrame, rates: DataFrame, tax_rate: float = 0.1) -> D
     ``df`` needs price, currency, tax_included and content (amount in the pack);
     ``rates`` holds one row (currency, rate) per currency. A currency without a rate gives null.
     """
-    joined = df.join(rates.select("currency", "rate"), "currency", "left")
+    joined = df.join(kept(rates.select("currency", "rate")), "currency", "left")
     taxed = F.col("price") * F.when(F.col("tax_included"), 1.0).otherwise(1.0 + tax_rate)
     return (joined.withColumn("norm_price", taxed * F.col("rate"))
             .withColumn("unit_price", ratio(F.col("norm_price"), F.col("content")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numbers import ratio
 from shelfline.operators.price import elasticity
+from shelfline.session import kept
 
 COST_RATIO = 0.7
 
@@ -85,8 +86,8 @@ def recommend(gap: DataFrame, product: DataFrame, optimal: DataFrame, market: Da
 
     joined = (gap.select("product_id", "own_price", "competitor_avg", "gap")
               .join(product.select("product_id", "category"), "product_id")
-              .join(optimal.select("category", "best_delta"), "category", "left")
-              .join(market.select("category", "market_gap"), "category", "left"))
+              .join(kept(optimal.select("category", "best_delta")), "category", "left")
+              .join(kept(market.select("category", "market_gap")), "category", "left"))
     votes = (against(F.col("gap")) + against(F.col("market_gap"))
              + F.coalesce(F.signum("best_delta").cast("int"), F.lit(0)))
     way = F.when(votes >= 2, 1).when(votes <= -2, -1).otherwise(0)
@@ -115,9 +116,9 @@ def backtest(sales: DataFrame, cut: str, by: Sequence[str] = ("category",)) -> D
     """
     when = F.lit(cut).cast("timestamp")
     train = sales.filter(F.col("sold_at") < when)
-    fitted = (train.groupBy(*by).agg(F.avg("net_price").alias("_price"),
-                                     F.avg("qty").alias("_qty"))
-              .join(elasticity(train, by).select(*by, "elasticity"), list(by)))
+    fitted = kept(train.groupBy(*by).agg(F.avg("net_price").alias("_price"),
+                                         F.avg("qty").alias("_qty"))
+                  .join(elasticity(train, by).select(*by, "elasticity"), list(by)))
     scored = (sales.filter((F.col("sold_at") >= when) & (F.col("net_price") > 0))
               .join(fitted, list(by))
               .withColumn("_error", F.col("_qty") * F.pow(

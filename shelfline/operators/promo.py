@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numbers import fine_sum, from_fine, ratio
+from shelfline.session import kept
 
 
 def revenue(qty: str = "qty", price: str = "net_price") -> Column:
@@ -18,10 +19,11 @@ def attribute(sales: DataFrame, promos: DataFrame) -> DataFrame:
     """Promoted sales with each promotion of their category active at sale time.
 
     The interval join is an equality join on (category, month) with the exact
-    bounds as a filter; a promotion is listed once per month it touches.
+    bounds as a filter; a promotion is listed once per month it touches. A small
+    promotion table is broadcast, a large one meets the sales by month.
     """
     last = F.col("end_at") - F.expr("INTERVAL 1 MICROSECOND")
-    months = promos.filter("start_at < end_at").select(
+    months = kept(promos).filter("start_at < end_at").select(
         "promo_id", "category", "depth", "start_at", "end_at",
         F.explode(F.sequence(F.date_trunc("month", "start_at"), F.date_trunc("month", last),
                              F.expr("INTERVAL 1 MONTH"))).alias("_month"))

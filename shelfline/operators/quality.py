@@ -11,6 +11,7 @@ from pyspark.sql.types import (
 )
 
 from shelfline.functions.ordered import exact_quantiles
+from shelfline.session import kept
 
 CORRUPT = "_corrupt_record"
 
@@ -62,8 +63,8 @@ def handle_nulls(df: DataFrame, required: Sequence[str], defaults: dict | None =
     """
     df = df.na.drop(subset=list(required))
     for measure, group in (impute or {}).items():
-        medians = exact_quantiles(df, [group], measure, [0.5]).select(
-            F.col(group).alias("_group"), F.col("quantiles")[0].alias("_median"))
+        medians = kept(exact_quantiles(df, [group], measure, [0.5]).select(
+            F.col(group).alias("_group"), F.col("quantiles")[0].alias("_median")))
         df = (df.join(medians, F.col(group).eqNullSafe(F.col("_group")), "left")
               .withColumn(measure, F.coalesce(measure, "_median"))
               .drop("_group", "_median"))

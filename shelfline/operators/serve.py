@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numbers import money_sum, ratio, share_of
+from shelfline.session import kept
 
 
 def price_kpis(recommendations: DataFrame, categories: DataFrame, category: str | None = None,
@@ -22,8 +23,8 @@ def price_kpis(recommendations: DataFrame, categories: DataFrame, category: str
         recommendations = recommendations.filter(F.col("category") == category)
     if min_gap is not None:
         recommendations = recommendations.filter(F.abs("gap") >= min_gap)
-    means = categories.filter("level = 1").select(
-        "category", F.col("avg_price").alias("category_avg"))
+    means = kept(categories.filter("level = 1").select(
+        "category", F.col("avg_price").alias("category_avg")))
     out = (recommendations.join(means, "category", "left")
            .select("product_id", "category", "own_price", "competitor_avg", "gap", "category_avg",
                    "action", "suggested_price")
@@ -37,8 +38,8 @@ def promotion_kpis(performance: DataFrame, uplift: DataFrame, roi: DataFrame,
     if category is not None:
         performance = performance.filter(F.col("category") == category)
     return (performance
-            .join(uplift.select("category", "uplift", "n_base"), "category", "left")
-            .join(roi.select("category", "roi"), "category", "left"))
+            .join(kept(uplift.select("category", "uplift", "n_base")), "category", "left")
+            .join(kept(roi.select("category", "roi")), "category", "left"))
 
 
 def product_kpis(performance: DataFrame, scored: DataFrame, best: DataFrame,
@@ -54,15 +55,24 @@ def product_kpis(performance: DataFrame, scored: DataFrame, best: DataFrame,
 
 
 def executive_summary(sales: DataFrame) -> DataFrame:
-    """Long table (kpi, period, value) by month and year."""
-    kpis = {"lines": F.count(F.lit(1)).cast("double"), "units": F.sum("qty"),
-            "amount": money_sum(F.col("amount")),
-            "average_paid_price": F.avg("net_price"), "promo_share": share_of(F.col("is_promo"))}
-    monthly = sales.groupBy(F.date_format("sold_at", "yyyy-MM").alias("period"))
-    yearly = sales.groupBy(F.date_format("sold_at", "yyyy").alias("period"))
-    tables = [g.agg(*[c.alias(name) for name, c in kpis.items()]) for g in (monthly, yearly)]
-    wide = tables[0].unionByName(tables[1])
-    return wide.unpivot(["period"], list(kpis), "kpi", "value").select("kpi", "period", "value")
+    """Long table (kpi, period, value) by month and year.
+
+    Sales are read once into monthly sums; years are added up from months.
+    """
+    one = F.lit(1)
+    months = sales.groupBy(F.date_format("sold_at", "yyyy-MM").alias("month")).agg(
+        F.count(one).alias("lines"), F.sum("qty").alias("units"),
+        money_sum(F.col("amount")).alias("amount"), F.sum("net_price").alias("paid"),
+        F.count("net_price").alias("priced"), F.count_if(F.col("is_promo")).alias("promoted"))
+    spans = months.withColumn("period", F.explode(F.array(
+        F.col("month"), F.substring("month", 1, 4))))
+    wide = spans.groupBy("period").agg(
+        F.sum("lines").cast("double").alias("lines"), F.sum("units").alias("units"),
+        F.sum("amount").alias("amount"),
+        ratio(F.sum("paid"), F.sum("priced")).alias("average_paid_price"),
+        ratio(F.sum("promoted"), F.sum("lines")).alias("promo_share"))
+    kpis = ["lines", "units", "amount", "average_paid_price", "promo_share"]
+    return wide.unpivot(["period"], kpis, "kpi", "value").select("kpi", "period", "value")
 
 
 # What a custom report may group by; _measures lists what it may show.

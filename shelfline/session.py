@@ -51,7 +51,9 @@ def kept(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage of a frame that several branches of a plan use; unlike a
-    cache it survives the loss of executors and keeps column pruning.
+    cache it survives the loss of executors and keeps column pruning. It also tells
+    the planner the frame's true size: a small result is then broadcast because it
+    was measured to be small, and a large one is joined by a shuffle.
     """
     spark = df.sparkSession
     path = scratch(spark)

@@ -81,14 +81,19 @@ def upsert(path: str, updates: DataFrame, keys: Sequence[str], order: Sequence[s
     """
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must belong to the key")
-    merged = dedup(updates, keys, order)
+    merged = updates = kept(dedup(updates, keys, order))
     target = _existing(updates.sparkSession, path)
     if target is not None:
         if partitions:
-            touched = updates.select(*partitions).distinct()
-            target = target.join(touched, list(partitions), "left_semi")
-        merged = dedup(target.select(*updates.columns).unionByName(updates), keys, order)
-    _write(kept(merged), path, partitions)
+            # As many values as the update touches folders; the filter prunes the scan.
+            touched = updates.select(F.struct(*partitions).alias("p")).distinct().collect()
+            kinds = {c: updates.schema[c].dataType for c in partitions}
+            target = target.filter(
+                F.struct(*[F.col(c).cast(kinds[c]).alias(c) for c in partitions]).isin(*[
+                    F.struct(*[F.lit(row["p"][c]).cast(kinds[c]).alias(c) for c in partitions])
+                    for row in touched]))
+        merged = kept(dedup(target.select(*updates.columns).unionByName(updates), keys, order))
+    _write(merged, path, partitions)
 
 
 def merge_table(table: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from shelfline.functions.ordered import (
-    OrderedGroups, _slice, exact_quantiles, number_rows, tile,
+    OrderedGroups, _against, _slice, exact_quantiles, number_rows, tile,
 )
 from shelfline.operators import price
 from shelfline.schemas import PRICE_OBSERVATION
@@ -55,13 +55,30 @@ def test_slices_of_hot_key_are_small(spark):
 def test_slice_rises_along_the_order(spark):
     df = skewed(spark, 4).select("price", "order_id", "line_no")
     for descending in ((), ("price",)):
-        code = _slice(["price", "order_id"], [[2.0, 3.0], [10, 10, 20]], descending)
+        code = _slice(["price", "order_id"], [[2.0, 3.0], [10, 20]], descending)
         way = F.desc("price") if descending else F.asc("price")
         rows = df.select("price", "order_id", code.alias("c")).orderBy(way, "order_id").collect()
         codes = [r["c"] for r in rows]
         assert codes == sorted(codes)
 
 
+def test_hot_key_may_be_null(spark):
+    df = skewed(spark, 11).withColumn("product_id", F.nullif("product_id", F.lit(1)))
+    keys, order = ["product_id", "retailer_id"], ["observed_at", "order_id", "line_no", "price"]
+    hot = OrderedGroups(df, keys, order, group_rows=50)
+    assert hot.hot is not None
+    plain = OrderedGroups(df, keys, order)
+    assert same(hot.shift(df, {"near": "price"}), plain.shift(df, {"near": "price"}))
+
+
+@pytest.mark.parametrize("marks", [[], [5], [1, 3, 3 + 1], list(range(0, 90, 3))])
+def test_place_among_edges(spark, marks):
+    below, equal = _against(F.col("id"), marks)
+    for row in spark.range(-2, 95).select("id", below.alias("b"), equal.alias("e")).collect():
+        assert row["b"] == sum(m < row["id"] for m in marks)
+        assert row["e"] == (row["id"] in marks)
+
+
 def test_history_and_moves_of_hot_key(spark):
     df = skewed(spark, 5)
     assert same(price.price_history(df, group_rows=50), price.price_history(df))
