@@ -47,38 +47,42 @@ def _edges(df: DataFrame, order: Sequence[str], n: int, rows: int) -> list[list]
     return [sorted(set(marks or [])) for marks in found]
 
 
-def _against(value: Column, marks: list) -> tuple[Column, Column]:
-    """(number of edges below the value, whether it lies on an edge).
-
-    Looks first among every k-th edge and then between two of those.
-    """
+def _below(value: Column, marks: list) -> Column:
+    """Number of edges below the value: first among every k-th edge, then between two."""
     if not marks:
-        return F.lit(0), F.lit(False)
-    points = F.array(*[F.lit(m) for m in marks])
-    step = max(1, isqrt(len(marks)))
+        return F.lit(0)
+    points, step = F.array(*[F.lit(m) for m in marks]), max(1, isqrt(len(marks)))
     coarse = F.array(*[F.lit(m) for m in marks[::step]])
     start = F.greatest(F.size(F.filter(coarse, lambda e: e < value)) - 1, F.lit(0)) * step
-    below = start + F.size(F.filter(F.slice(points, start + 1, step), lambda e: e < value))
-    equal = F.coalesce(F.try_element_at(points, below + 1) == value, F.lit(False))
-    return below, equal
+    # The one-element transform names the start, so that it is found once.
+    return F.transform(F.array(start), lambda s: s + F.size(
+        F.filter(F.slice(points, s + 1, step), lambda e: e < value)))[0]
 
 
-def _slice(order: Sequence[str], edges: list[list], descending: Sequence[str] = ()) -> Column:
-    """Slice number of a row, rising along the order.
+def with_slice(df: DataFrame, order: Sequence[str], edges: list[list],
+               descending: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+    """Add ``_slice``, a number that rises along the order; -1 where ``where`` does not hold.
 
     One order column gives #edges below + #edges up to the value: even numbers
-    lie between edges, odd steps on an edge. The next column counts only for rows on an edge.
+    lie between edges, odd ones on an edge. The next column counts only for rows on an
+    edge. Each step is a column of its own, so nothing is worked out twice.
     """
-    code, on_edge = F.lit(0).cast("bigint"), F.lit(True)
-    for name, marks in zip(order, edges):
-        base = 2 * len(marks) + 1
-        below, equal = _against(F.col(name), marks)
-        place = 2 * below + F.when(equal, 1).otherwise(0)
+    names, live, code = df.columns, where, F.lit(0).cast("bigint")
+    for i, (name, marks) in enumerate(zip(order, edges)):
+        below = _below(F.col(name), marks)
+        df = df.withColumn(f"_b{i}", below if live is None else F.when(live, below))
+        points = F.array(*[F.lit(m) for m in marks]) if marks else F.array(F.col(name))
+        on_edge = F.lit(False) if not marks else F.coalesce(
+            F.try_element_at(points, F.col(f"_b{i}") + 1) == F.col(name), F.lit(False))
+        df = df.withColumn(f"_e{i}", on_edge)
+        live = F.col(f"_e{i}")
+        place = 2 * F.col(f"_b{i}") + F.when(live, 1).otherwise(0)
         if name in descending:
-            place = F.lit(base - 1) - place
-        code = code * base + F.when(on_edge, place).otherwise(0)
-        on_edge = on_edge & equal
-    return code
+            place = F.lit(2 * len(marks)) - place
+        code = code * (2 * len(marks) + 1) + F.coalesce(place, F.lit(0))
+    if where is not None:
+        code = F.when(where, code).otherwise(F.lit(-1).cast("bigint"))
+    return df.select(*names, code.alias("_slice"))
 
 
 def _levels(n: int, columns: int) -> int:
@@ -113,11 +117,10 @@ class OrderedGroups:
                 for r in found])
             n = _levels(n, len(self.order))
             marks = _edges(df.filter(self.hot), self.order, n, sum(r["_rows"] for r in found))
-            self.slice = F.when(self.hot, _slice(self.order, marks)).otherwise(
-                F.lit(-1).cast("bigint"))
+            self.slice = lambda df: with_slice(df, self.order, marks, where=self.hot)
 
     def _sliced(self, df: DataFrame) -> DataFrame:
-        return kept(df.withColumn("_slice", self.slice))
+        return kept(self.slice(df))
 
     def _carried(self, df: DataFrame, summary: Column, carry) -> DataFrame:
         """Join to each row what the other slices of its hot key hand over."""
@@ -190,20 +193,20 @@ def number_rows(df: DataFrame, orders: dict[str, tuple[str, bool]], tie: str,
     out = base.select("*", *[F.lit(t).alias(name) for name, t in zip(totals, whole)])
     names = out.columns
     for i, (name, (value, ascending)) in enumerate(orders.items()):
-        piece = _slice([value, tie], [marks[i], marks[-1]], () if ascending else (value,))
+        cut = ([value, tie], [marks[i], marks[-1]], () if ascending else (value,))
         extra = running if i == 0 else {}
         before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice")
                   .rowsBetween(Window.unboundedPreceding, -1))
         sums = {"_n": F.count(F.lit(1)),
                 **{f"_s{j}": F.sum(m) for j, m in enumerate(extra.values())}}
-        offsets = (base.groupBy(*keys, piece.alias("_slice"))
+        offsets = (with_slice(base, *cut).groupBy(*keys, "_slice")
                    .agg(*[agg.alias(t) for t, agg in sums.items()])
                    .select(*keys, "_slice",
                            *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(t) for t in sums]))
         within = (Window.partitionBy(*keys, "_slice")
                   .orderBy(F.col(value) if ascending else F.col(value).desc(), F.col(tie)))
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = (out.withColumn("_slice", piece).join(offsets, [*keys, "_slice"])
+        out = (with_slice(out, *cut).join(offsets, [*keys, "_slice"])
                .select(*names, (F.col("_n") + F.row_number().over(within)).alias(name),
                        *[(F.col(f"_s{j}") + F.sum(m).over(so_far)).alias(target)
                          for j, (target, m) in enumerate(extra.items())]))
@@ -232,15 +235,15 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     counted = kept(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                    .agg(F.count(F.lit(1)).alias("_copies")))
     n = _levels(width(df.sparkSession), 1)
-    piece = _slice([value], _edges(counted, [value], n, counted.count()))
+    counted = with_slice(counted, [value], [_edges(counted, [value], n, counted.count())[0]])
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slice")
-    offsets = (counted.groupBy(*keys, piece.alias("_slice")).agg(F.sum("_copies").alias("_n"))
+    offsets = (counted.groupBy(*keys, "_slice").agg(F.sum("_copies").alias("_n"))
                .select(*keys, "_slice",
                        (F.sum("_n").over(along) - F.col("_n")).alias("_before"),
                        F.sum("_n").over(Window.partitionBy(*(keys or [F.lit(0)]))).alias("_rows")))
     on = [*[F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys],
           F.col("r._slice") == F.col("o._slice")]
-    placed = (counted.withColumn("_slice", piece).alias("r").join(offsets.alias("o"), on)
+    placed = (counted.alias("r").join(offsets.alias("o"), on)
               .select("r.*", "o._before", "o._rows")
               .withColumn("_last", F.col("_before") + F.sum("_copies").over(
                   Window.partitionBy(*keys, "_slice").orderBy(value)))
