@@ -43,6 +43,14 @@ def test_shift_of_hot_key_equals_window(spark, seed, forward):
     assert same(groups.shift(df, columns, forward), plain.shift(df, columns, forward))
 
 
+def test_slices_do_not_depend_on_the_time_zone(spark):
+    df = skewed(spark, 12)
+    groups = OrderedGroups(df, ["product_id"], ["observed_at", "order_id"], group_rows=50)
+    on_hot_day = groups.slice(df).filter("product_id = 1").groupBy("observed_at").agg(
+        F.count_distinct("_slice").alias("slices"), F.count(F.lit(1)).alias("rows"))
+    assert on_hot_day.orderBy(F.desc("rows")).first()["slices"] > 4
+
+
 def test_slices_of_hot_key_are_small(spark):
     df = skewed(spark, 3, 3000)
     groups = OrderedGroups(df, ["product_id"], ["observed_at", "order_id", "line_no", "price"],
