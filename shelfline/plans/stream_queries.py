@@ -105,7 +105,7 @@ def dedup_stream(spark, d):
 
 _CHANGES = """SELECT product_id, retailer_id, event_id,
     strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, old_price, new_price,
-    T((new_price - old_price) / old_price) AS pct
+    T((new_price - old_price) / nullif(old_price, 0)) AS pct
     FROM (SELECT *, lag(new_price) OVER (PARTITION BY product_id, retailer_id
                                          ORDER BY event_time, event_id) AS old_price
           FROM event) AS c WHERE old_price IS NOT NULL"""
@@ -117,7 +117,7 @@ def detect_changes(spark, d):
     return rounded(found, "pct").withColumn("event_time", second("event_time"))
 
 
-@query("alerts", sql("event", _CHANGES + " AND abs((new_price - old_price) / old_price) >= 0.1"))
+@query("alerts", sql("event", _CHANGES + " AND abs((new_price - old_price) / nullif(old_price, 0)) >= 0.1"))
 def alerts(spark, d):
     """Alerts written as JSON messages by a stream and read back."""
     path = scratch(spark)
