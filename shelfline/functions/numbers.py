@@ -7,9 +7,12 @@ from pyspark.sql import Column, functions as F
 
 def tidy(value: Column, digits: int = 4) -> Column:
     """Round half up with a small nudge, so that values which should sit on a
-    half-way point do not depend on the last bit of a double."""
+    half-way point do not depend on the last bit of a double. A value too large to
+    have such digits stays as it is."""
     scale = 10**digits
-    return F.floor(value.cast("double") * scale + F.lit(0.50001)) / F.lit(scale)
+    scaled = value.cast("double") * scale
+    return F.when(F.abs(scaled) < F.lit(2.0**53), F.floor(scaled + F.lit(0.50001)) / F.lit(scale)).otherwise(
+        value.cast("double"))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -24,7 +24,7 @@ from decimal import Decimal
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from shelfline.session import kept, width
 
@@ -126,6 +126,10 @@ class OrderedGroups:
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  group_rows: int = GROUP_ROWS):
         self.keys, self.order = list(keys), list(order)
+        for name in self.order:
+            kind = df.schema[name].dataType
+            if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+                raise TypeError(f"order column {name!r} is {kind.simpleString()}; it must be a number, date or time")
         n = width(df.sparkSession)
         counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
         top = counts.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("top")).first()
@@ -228,7 +232,10 @@ def number_rows(df: DataFrame, orders: dict[str, tuple[str, bool]], tie: str,
         within = (Window.partitionBy(*keys, "_slice")
                   .orderBy(F.col(value) if ascending else F.col(value).desc(), F.col(tie)))
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = (with_slice(out, *cut).join(offsets, [*keys, "_slice"])
+        on = [*[F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys],
+              F.col("r._slice") == F.col("o._slice")]
+        sums = offsets.select(*keys, "_slice", *sums).alias("o")
+        out = (with_slice(out, *cut).alias("r").join(sums, on).drop(*[F.col(f"o.{k}") for k in [*keys, "_slice"]])
                .select(*names, (F.col("_n") + F.row_number().over(within)).alias(name),
                        *[(F.col(f"_s{j}") + F.sum(m).over(so_far)).alias(target)
                          for j, (target, m) in enumerate(extra.items())]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numbers import ratio
-from shelfline.operators.price import elasticity
+from shelfline.operators.price import slope
 from shelfline.session import kept
 
 COST_RATIO = 0.7
@@ -15,9 +15,9 @@ COST_RATIO = 0.7
 
 def price_base(sales: DataFrame) -> DataFrame:
     """Starting point per category: mean paid price, units and elasticity."""
-    base = sales.groupBy("category").agg(
-        F.avg("net_price").alias("base_price"), F.sum("qty").alias("base_units"))
-    return base.join(elasticity(sales).select("category", "elasticity"), "category", "left")
+    return sales.groupBy("category").agg(
+        F.avg("net_price").alias("base_price"), F.sum("qty").alias("base_units"),
+        slope().alias("elasticity"))
 
 
 def _impact(delta: Column, cost_ratio: float) -> dict[str, Column]:
@@ -116,9 +116,8 @@ def backtest(sales: DataFrame, cut: str, by: Sequence[str] = ("category",)) -> D
     """
     when = F.lit(cut).cast("timestamp")
     train = sales.filter(F.col("sold_at") < when)
-    fitted = kept(train.groupBy(*by).agg(F.avg("net_price").alias("_price"),
-                                         F.avg("qty").alias("_qty"))
-                  .join(elasticity(train, by).select(*by, "elasticity"), list(by)))
+    fitted = kept(train.groupBy(*by).agg(F.avg("net_price").alias("_price"), F.avg("qty").alias("_qty"),
+                                         slope().alias("elasticity")))
     scored = (sales.filter((F.col("sold_at") >= when) & (F.col("net_price") > 0))
               .join(fitted, list(by))
               .withColumn("_error", F.col("_qty") * F.pow(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.functions.numbers import ratio
 from shelfline.functions.ordered import GROUP_ROWS, OrderedGroups
@@ -172,6 +172,15 @@ def asof_price(sales: DataFrame, obs: DataFrame, own: int = 0,
         "competitor_price", "competitor_id", "competitor_at")
 
 
+def slope() -> Column:
+    """Aggregate: slope of ln(qty) on ln(net_price) over the rows where both are positive.
+
+    Stands beside other aggregates of the same rows, so they need no scan of their own.
+    """
+    both = (F.col("qty") > 0) & (F.col("net_price") > 0)
+    return F.regr_slope(F.when(both, F.ln("qty")), F.when(both, F.ln("net_price")))
+
+
 def elasticity(sales: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame:
     """Price sensitivity: slope of ln(qty) on ln(net_price), R² and n per group."""
     y, x = F.ln("qty"), F.ln("net_price")

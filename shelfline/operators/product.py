@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.functions.numbers import ratio
 from shelfline.functions.ordered import exact_quantiles, number_rows
-from shelfline.operators.price import elasticity
+from shelfline.operators.price import slope
 from shelfline.operators.promo import revenue
+from shelfline.session import kept
 
 
 def quantile_edges(df: DataFrame, price: str, bands: int) -> list[float]:
@@ -43,9 +44,12 @@ def best_sellers(sales: DataFrame, k: int = 10) -> DataFrame:
 
     Spark keeps ``k`` rows per category in each task before the shuffle.
     """
+    return _leading(product_totals(sales), k)
+
+
+def _leading(totals: DataFrame, k: int) -> DataFrame:
     top = Window.partitionBy("category").orderBy(F.col("units").desc(), "product_id")
-    return (product_totals(sales).withColumn("place", F.row_number().over(top))
-            .filter(F.col("place") <= k))
+    return totals.withColumn("place", F.row_number().over(top)).filter(F.col("place") <= k)
 
 
 def top_products(sales: DataFrame, k: int = 10) -> DataFrame:
@@ -56,8 +60,9 @@ def top_products(sales: DataFrame, k: int = 10) -> DataFrame:
 
 def best_seller_share(sales: DataFrame, k: int, edges: Sequence[float]) -> DataFrame:
     """Products, best sellers and their share per price band."""
-    best = best_sellers(sales, k).select("product_id", F.lit(True).alias("_best"))
-    banded = price_band(product_totals(sales), "paid_price", edges)
+    totals = kept(product_totals(sales))
+    best = _leading(totals, k).select("product_id", F.lit(True).alias("_best"))
+    banded = price_band(totals, "paid_price", edges)
     return (banded.join(best, "product_id", "left").groupBy("band")
             .agg(F.count(F.lit(1)).alias("products"), F.count("_best").alias("best_sellers"))
             .withColumn("share", ratio(F.col("best_sellers"), F.col("products"))))
@@ -85,8 +90,8 @@ def price_demand_corr(sales: DataFrame, by: Sequence[str] = ("category",)) -> Da
 
 def demand_forecast(sales: DataFrame, deltas: Sequence[float]) -> DataFrame:
     """Mean quantity per category under price changes: qty x (1 + delta)^elasticity."""
-    base = sales.groupBy("category").agg(F.avg("qty").alias("base_qty"))
-    return (base.join(elasticity(sales).select("category", "elasticity"), "category", "left")
+    base = sales.groupBy("category").agg(F.avg("qty").alias("base_qty"), slope().alias("elasticity"))
+    return (base
             .withColumn("delta", F.explode(F.array(*[F.lit(float(d)) for d in deltas])))
             .withColumn("forecast_qty",
                         F.col("base_qty") * F.pow(1 + F.col("delta"), F.col("elasticity"))))

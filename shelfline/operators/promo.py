@@ -19,14 +19,21 @@ def attribute(sales: DataFrame, promos: DataFrame) -> DataFrame:
     """Promoted sales with each promotion of their category active at sale time.
 
     The interval join is an equality join on (category, month) with the exact
-    bounds as a filter; a promotion is listed once per month it touches. A small
-    promotion table is broadcast, a large one meets the sales by month.
+    bounds as a filter; a promotion is listed once per month it touches. A promotion
+    without an end holds up to the last sale. The list of months is written once, so
+    Spark knows its size: a small one is broadcast, a large one meets the sales by month.
     """
+    if promos.filter("end_at IS NULL").isEmpty():
+        end = F.col("end_at")
+    else:
+        last_sale = sales.agg(F.max("sold_at")).first()[0]
+        end = F.coalesce("end_at", F.lit(last_sale).cast("timestamp") + F.expr("INTERVAL 1 MICROSECOND"))
+    bounded = promos.withColumn("end_at", end).filter("start_at < end_at")
     last = F.col("end_at") - F.expr("INTERVAL 1 MICROSECOND")
-    months = kept(promos).filter("start_at < end_at").select(
+    months = kept(bounded.select(
         "promo_id", "category", "depth", "start_at", "end_at",
         F.explode(F.sequence(F.date_trunc("month", "start_at"), F.date_trunc("month", last),
-                             F.expr("INTERVAL 1 MONTH"))).alias("_month"))
+                             F.expr("INTERVAL 1 MONTH"))).alias("_month")))
     sold = sales.filter("is_promo").withColumn("_month", F.date_trunc("month", "sold_at"))
     return (sold.join(months, ["category", "_month"])
             .filter("sold_at >= start_at AND sold_at < end_at")

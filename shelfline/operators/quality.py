@@ -167,9 +167,15 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
 
 def changed_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Whole rows found on one side only, copies counted, tagged by ``side``."""
-    return (a.exceptAll(b).withColumn("side", F.lit("a"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit("b"))))
+    """Whole rows found on one side only, copies counted, tagged by ``side``.
+
+    Copies count plus one on side a and minus one on side b, so each side is read once.
+    """
+    names = a.columns
+    both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
+    rest = both.groupBy(*names).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return rest.select(*names, F.when(F.col("_n") > 0, "a").otherwise("b").alias("side"),
+                       F.explode(F.array_repeat(F.lit(0), F.abs("_n").cast("int"))).alias("_copy")).drop("_copy")
 
 
 def split_corrupt(df: DataFrame, column: str, schema: StructType) -> tuple[DataFrame, DataFrame]:

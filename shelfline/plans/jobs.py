@@ -43,7 +43,7 @@ def build_silver(spark: SparkSession, root: str, run_id: str) -> dict[str, dict[
         return audited(
             spark, f"{root}/audit", run_id, name, source,
             lambda df: quality.validate(df, rules),
-            lambda good: write_silver(good, root, dataset, [partition]),
+            lambda good: write_silver(good, root, dataset, [partition], whole=True),
             lambda bad: bad.write.mode("overwrite").parquet(f"{root}/rejected/{dataset}/{run_id}"))
 
     return {
@@ -71,10 +71,10 @@ def build_gold(spark: SparkSession, root: str, as_of: str) -> None:
                              MARKET_TREND).dropDuplicates()
     categories = sold.select("product_id", "category").distinct()
     current = kept(price.current_price(prices))
-    write_gold(current, root, "price_analytics", "current_price", ["retailer_id"])
+    write_gold(current, root, "price_analytics", "current_price", ["retailer_id"], whole=True)
     write_gold(price.price_gap(current, fx.OWN), root, "price_analytics", "price_gap")
     write_gold(price.price_history(prices), root, "price_analytics", "price_history",
-               ["retailer_id"])
+               ["retailer_id"], whole=True)
     write_gold(price.elasticity(sold), root, "price_analytics", "elasticity")
     write_gold(price.vs_market(prices.join(categories, "product_id"), market, fx.OWN), root,
                "price_analytics", "vs_market")

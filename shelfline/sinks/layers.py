@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shelfline.operators.quality import dedup
 from shelfline.session import kept
@@ -19,8 +21,8 @@ from shelfline.sources.tables import layer_path
 
 
 def _write(df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parquet",
-           **options) -> None:
-    """Overwrite the partitions present in ``df``.
+           whole: bool = False, **options) -> None:
+    """Overwrite the partitions present in ``df``, or with ``whole`` all the table has.
 
     The rebalance hint lets Spark split a hot partition over several tasks and
     join small ones, so files come out in even sizes.
@@ -28,7 +30,8 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parq
     if partitions:
         df = df.hint("rebalance", *partitions)
     (df.write.mode("overwrite").format(fmt).options(**options)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).save(path))
+     .option("partitionOverwriteMode", "static" if whole else "dynamic")
+     .partitionBy(*partitions).save(path))
 
 
 def write_bronze(df: DataFrame, root: str, dataset: str, run_id: str, source: str) -> None:
@@ -43,15 +46,16 @@ def write_bronze(df: DataFrame, root: str, dataset: str, run_id: str, source: st
      .partitionBy("_run_id").parquet(layer_path(root, "bronze", dataset)))
 
 
-def write_silver(df: DataFrame, root: str, dataset: str, partitions: Sequence[str] = ()) -> None:
-    """Replace the written partitions of a silver table."""
-    _write(df, layer_path(root, "silver", dataset), partitions)
+def write_silver(df: DataFrame, root: str, dataset: str, partitions: Sequence[str] = (),
+                 whole: bool = False) -> None:
+    """Replace the written partitions of a silver table; all of it if it was rebuilt as a whole."""
+    _write(df, layer_path(root, "silver", dataset), partitions, whole=whole)
 
 
 def write_gold(df: DataFrame, root: str, mart: str, name: str,
-               partitions: Sequence[str] = ()) -> None:
-    """Replace the written partitions of a gold result table."""
-    _write(df, layer_path(root, "gold", f"{mart}/{name}"), partitions)
+               partitions: Sequence[str] = (), whole: bool = False) -> None:
+    """Replace the written partitions of a gold result table; all of it if it was rebuilt as a whole."""
+    _write(df, layer_path(root, "gold", f"{mart}/{name}"), partitions, whole=whole)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
@@ -61,9 +65,10 @@ def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
      .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def _existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table under its own types: a partition value 01 of a text column stays 01."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -82,29 +87,29 @@ def upsert(path: str, updates: DataFrame, keys: Sequence[str], order: Sequence[s
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must belong to the key")
     merged = updates = kept(dedup(updates, keys, order))
-    target = _existing(updates.sparkSession, path)
+    target = _existing(updates.sparkSession, path, updates.schema)
     if target is not None:
         if partitions:
-            # As many values as the update touches folders; the filter prunes the scan.
-            touched = updates.select(F.struct(*partitions).alias("p")).distinct().collect()
-            kinds = {c: updates.schema[c].dataType for c in partitions}
-            target = target.filter(
-                F.struct(*[F.col(c).cast(kinds[c]).alias(c) for c in partitions]).isin(*[
-                    F.struct(*[F.lit(row["p"][c]).cast(kinds[c]).alias(c) for c in partitions])
-                    for row in touched]))
+            # A join, as an update may touch any number of folders.
+            touched = updates.select(*partitions).distinct().alias("u")
+            same = [F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}")) for c in partitions]
+            target = target.alias("t").join(touched, same, "left_semi")
         merged = kept(dedup(target.select(*updates.columns).unionByName(updates), keys, order))
     _write(merged, path, partitions)
 
 
 def merge_table(table: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:
     """The same upsert by MERGE, for a catalog table whose format supports it."""
-    updates.sparkSession.catalog.dropTempView("_merge_updates")
-    dedup(updates, keys, order).createTempView("_merge_updates")
+    view = f"_merge_updates_{uuid4().hex}"
+    dedup(updates, keys, order).createTempView(view)
     match = " AND ".join(f"t.`{k}` <=> u.`{k}`" for k in keys)
     t, u = (f"struct({', '.join(f'{a}.`{c}`' for c in order)})" for a in "tu")
-    updates.sparkSession.sql(
-        f"MERGE INTO {table} t USING _merge_updates u ON {match} "
-        f"WHEN MATCHED AND {u} >= {t} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+    try:
+        updates.sparkSession.sql(
+            f"MERGE INTO {table} t USING {view} u ON {match} "
+            f"WHEN MATCHED AND {u} >= {t} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+    finally:
+        updates.sparkSession.catalog.dropTempView(view)
 
 
 def publish(df: DataFrame, table: str, url: str | None = None, as_view: bool = False,

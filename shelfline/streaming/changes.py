@@ -106,7 +106,7 @@ def live_prices(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWrit
     size. ``read_live`` merges; ``fold_live`` moves the state to a table now and then.
     """
     def put(batch: DataFrame, batch_id: int) -> None:
-        latest = dedup(batch, ["product_id", "retailer_id"], ["event_time", "event_id"])
+        latest = dedup(batch.filter("new_price IS NOT NULL"), ["product_id", "retailer_id"], ["event_time", "event_id"])
         (latest.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
