@@ -11,14 +11,15 @@ position is closed at most once, so the time is linear in the piece. Compatibili
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,30 +27,11 @@ from shelfline.llm.common import by_batches, widened, with_column
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Entries a worker keeps of each memo before it starts afresh.
-MEMO = 300_000
+MEMO = 600_000
 # Longer pieces are not memoised.
 _LONG_PIECE = 64
 
 
-class Memo:
-    """Ids by text, of the latest MEMO to 2 x MEMO texts put in."""
-
-    def __init__(self):
-        self.new: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.get = self.new.get
-
-    def _recall(self, text: str) -> tuple[int, ...] | None:
-        found = self.new.get(text)
-        return self.older.get(text) if found is None else found
-
-    def put(self, text: str, ids: tuple[int, ...]) -> None:
-        if len(self.new) >= MEMO:
-            self.new, self.older = {}, self.new
-            self.get = self._recall
-        self.new[text] = ids
-
-
 class Encoder:
     """Encodes by ranks, in which a lower rank is merged first; ids are the ranks."""
 
@@ -59,7 +41,10 @@ class Encoder:
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
         self.fits: dict[int, bool] = {}
-        self.pieces, self.words = Memo(), Memo()
+        # Ids by piece and by word, as 32-bit numbers.
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.most = max(map(len, ranks))
         self.sizes = {rank: len(token) for rank, token in self.text.items()}
         self.automaton = ahocorasick.Automaton()
         for rank in sorted(self.text):
@@ -118,6 +103,15 @@ class Encoder:
                     return True
                 left = inner
 
+    def longest(self, text: str, at: int) -> int:
+        """The longest token that starts at a place: the automaton walks its trie as far as the
+        text goes along, and the last token on that path is it."""
+        text = text[at:at + self.most]
+        end = self.automaton.longest_prefix(text)
+        while (rank := self.automaton.get(text[:end], -1)) < 0:
+            end -= 1
+        return rank
+
     def piece(self, data: bytes) -> tuple[int, ...]:
         """The ids of one piece."""
         if (whole := self.ranks.get(data)) is not None:
@@ -125,11 +119,9 @@ class Encoder:
         if len(self.fits) >= MEMO:
             self.fits.clear()
         size, sizes, fits, shorter = len(data), self.sizes, self.fits, self.shorter
-        longest = [0] * size
-        for end, rank in self.automaton.iter(data.decode("latin-1")):
-            longest[end - sizes[rank] + 1] = rank  # later ends are longer tokens
+        text, longest, find = data.decode("latin-1"), [-1] * size, self.longest
         closed, out, at, last = bytearray(size + 1), [], 0, -1
-        token = longest[0]
+        token = find(text, 0)
         while True:
             end = at + sizes[token]
             if not closed[end]:
@@ -141,54 +133,74 @@ class Encoder:
                     out.append(token)
                     if end == size:
                         return tuple(out)
-                    at, last, token = end, token, longest[end]
+                    at, last = end, token
+                    if (token := longest[at]) < 0:
+                        token = longest[at] = find(text, at)
                     continue
             if (token := shorter[token]) < 0:
                 closed[at] = 1
                 token = out.pop()
                 at, last = at - sizes[token], out[-1] if out else -1
 
-    def parts(self, text: str) -> list[int]:
+    def parts(self, text: str) -> bytes:
         """The ids of a text cut by the pattern, each part looked up in the memo."""
-        ids: list[int] = []
+        memo, out = self.pieces, []
         for part in self.pattern.findall(text):
-            found = self.pieces.get(part)
-            if found is None:
-                found = self.piece(part.encode())
+            if (found := memo.get(part)) is None:
+                found = array("i", self.piece(part.encode())).tobytes()
                 if len(part) <= _LONG_PIECE:
-                    self.pieces.put(part, found)
-            ids += found
-        return ids
+                    memo[part] = found
+            out.append(found)
+        return b"".join(out)
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of a text.
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers.
 
         The pattern never joins a space to what stands before it if no white space follows,
         so what follows such a space is encoded, and memoised, by itself.
         """
+        for memo in (self.words, self.pieces):
+            if len(memo) > MEMO:
+                memo.clear()
         first, *words = text.split(" ")
-        ids = self.parts(first)
-        for word in words:
-            found = self.words.get(word)
-            if found is None:
-                if not word or word[0].isspace():
-                    return self.parts(text)
-                found = self.parts(" " + word)
-                if len(word) <= _LONG_PIECE:
-                    self.words.put(word, tuple(found))
-            ids += found
-        return ids
+        found = list(map(self.words.get, words))
+        if None in found:
+            for i, word in enumerate(words):
+                if found[i] is None:
+                    if not word or word[0].isspace():
+                        return self.parts(text)
+                    found[i] = self.parts(" " + word)
+                    if len(word) <= _LONG_PIECE:
+                        self.words[word] = found[i]
+        return self.parts(first) + b"".join(found)
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of a text."""
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.text.__getitem__, ids))
 
 
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of a rank file, built once per Python worker."""
-    with open(path, "rb") as lines:
-        return Encoder({base64.b64decode(token): int(rank)
-                        for token, rank in map(bytes.split, lines)})
+    return Encoder(_ranks(path))
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> pa.Array:
+    """The bytes of each id of a rank file."""
+    ranks = _ranks(path)
+    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return pa.array(table, pa.binary())
 
 
 def bpe_encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -200,13 +212,9 @@ def bpe_encode(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(public_tokenizers.path(vocabulary))
         for batch in batches:
-            lengths, flat = [0], []
-            for value in batch.column(text).to_pylist():
-                ids = use.encode(value or "")
-                lengths.append(len(ids))
-                flat.append(np.array(ids, np.int32))
-            ends = pa.array(np.cumsum(lengths), pa.int32())
-            column = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(flat or [[]]), pa.int32()))
+            packed = [use.packed(value or "") for value in batch.column(text).to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(p) // 4 for p in packed)]), pa.int32())
+            column = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield with_column(batch, "token_ids", column)
 
     return by_batches(docs, work, widened(docs, "token_ids array<int>"))
@@ -217,10 +225,11 @@ def bpe_decode(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     rest = tokens.drop("decoded")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(public_tokenizers.path(vocabulary))
+        table = token_bytes(public_tokenizers.path(vocabulary))
         for batch in batches:
-            decoded = [use.decode(ids or []) for ids in batch.column("token_ids").to_pylist()]
-            yield with_column(batch, "decoded", pa.array(decoded, pa.binary()))
+            ids = batch.column("token_ids")
+            parts = pa.ListArray.from_arrays(ids.offsets, table.take(ids.values))
+            yield with_column(batch, "decoded", pc.binary_join(parts, pa.scalar(b"", pa.binary())))
 
     return by_batches(rest, work, widened(rest, "decoded binary"))
 
