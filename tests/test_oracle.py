@@ -15,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare(df, con, entry.oracle_sql()[name]) is None
