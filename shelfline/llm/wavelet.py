@@ -10,12 +10,12 @@ where its k-th occurrence is (``select``). Bit-planes, block counts and document
 
 from __future__ import annotations
 
+import gc
 import json
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +24,7 @@ import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from shelfline.llm.common import by_batches
 from shelfline.session import kept, scratch, width
@@ -36,6 +36,8 @@ SHARD_IDS = 1 << 20
 _BLOCK = 512
 _MAGIC = b"WVM1"
 _MEMO = 800_000
+# Marks that a word may end in; the tokenizer always cuts them from the letters before.
+_MARKS = ".,;:!?#$%&*"
 
 
 class WaveletMatrix:
@@ -49,6 +51,7 @@ class WaveletMatrix:
         planes, zeros, ranks = [], [], []
         bits = max(1, int(ids.max(initial=0)).bit_length())
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+        spare = np.empty_like(ids)
         for level in reversed(range(bits)):
             ones = (ids & ids.dtype.type(1 << level)).astype(bool)
             packed = np.packbits(ones, bitorder="little")
@@ -56,9 +59,10 @@ class WaveletMatrix:
             counts = np.bitwise_count(packed.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(axis=1, dtype=np.uint32)
             planes.append(packed)
             ranks.append(np.concatenate([[0], np.cumsum(counts[:-1])]).astype(np.uint32))
-            front = ids[~ones]
-            zeros.append(len(front))
-            ids = np.concatenate([front, ids[ones]])
+            zeros.append(len(ids) - int(np.count_nonzero(ones)))
+            np.compress(~ones, ids, out=spare[:zeros[-1]])
+            np.compress(ones, ids, out=spare[zeros[-1]:])
+            ids, spare = spare, ids
         return cls(len(ids), planes, zeros, ranks)
 
     def _ones(self, level: int, at: int) -> int:
@@ -165,12 +169,19 @@ class Words:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # The same without what changes nothing in runs of small letters: normalising and cutting by the pattern.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.kind = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = np.array([END], self.kind).tobytes()
         self.memo: dict[str, bytes] = {}
+        # Nothing here makes cycles, but the many short lists would start the collector all the time.
+        gc.set_threshold(200_000)
 
     def _each(self, words: list[str]) -> Iterator[bytes]:
         """The ids of each word, encoded by itself."""
@@ -179,8 +190,7 @@ class Words:
 
     def _runs(self, words: list[str]) -> Iterator[bytes]:
         """The ids of runs of letters, encoded as one text and cut after tokens that end a run."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids,
-                       self.kind)
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words):
             yield from self._each(words)
@@ -193,18 +203,24 @@ class Words:
     def _learn(self, unknown: set[str]) -> None:
         """Put words into the memo: letters of Latin scripts in lower case with the marks after
         them are put together from the two, the others encoded as they are."""
-        memo, split = self.memo, {}
+        memo, whole, stems, split = self.memo, set(), set(), []
         for word in unknown:
-            stem = word.rstrip(".,;:!?").lower()
-            if stem.isalpha() and max(stem) < "\u0250":
-                split[word] = stem
-        stems = list(set(split.values()).difference(memo))
+            stem = word.rstrip(_MARKS).lower()
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                if stem not in memo:
+                    stems.add(stem)
+                if stem != word:
+                    split.append((word, stem, tail := word[len(stem):]))
+                    if tail not in memo:
+                        whole.add(tail)
+            else:
+                whole.add(word)
         if stems:
+            stems = list(stems)
             memo.update(zip(stems, self._runs(stems)))
-        whole = {word[len(stem):] for word, stem in split.items()} | unknown.difference(split)
-        whole = list(whole.difference(memo))
+        whole = list(whole)
         memo.update(zip(whole, self._each(whole)))
-        memo.update((word, memo[stem] + memo[word[len(stem):]]) for word, stem in split.items())
+        memo.update([(word, memo[stem] + memo[tail]) for word, stem, tail in split])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, END appended."""
@@ -215,13 +231,18 @@ class Words:
             words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             ids = list(map(memo.get, words))
             if None in ids:
-                unknown.update([word for word, known in zip(words, ids) if known is None])
-                found.append((words, None))
+                places = [i for i, known in enumerate(ids) if known is None]
+                new = [words[i] for i in places]
+                unknown.update(new)
+                found.append((ids, places, new))
             else:
-                found.append((None, b"".join(ids)))
+                found.append((b"".join(ids), None, None))
         self._learn(unknown)
-        for words, data in found:
-            data = b"".join(map(memo.__getitem__, words)) if data is None else data
+        for data, places, new in found:
+            if places is not None:
+                for i, word in zip(places, new):
+                    data[i] = memo[word]
+                data = b"".join(data)
             yield np.frombuffer(data + self.end, self.kind)
 
 
