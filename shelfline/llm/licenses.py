@@ -71,7 +71,7 @@ RULES = (
     ("Unlicense", ("unlicense",)), ("ISC", ("isc-grant",)),
 )
 # Every known sentence has one of these words, so texts without them have no sentence to look for.
-MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|public domain|rights reserved"
+MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 # A sentence ends at marks before white space or the end, or at an empty line.
 _END, _CUT = r"[.;:!?]+([ \t\r\n]|$)", "\x1e|\n[ \t\r]*\n"
 _GLUE = r"[^a-z0-9]+"
