@@ -113,6 +113,13 @@ def test_license_sentences_run_over_lines_and_rules_want_order(spark):
     assert out[1] == (["mit-include", "mit-grant"], [])
 
 
+def test_sentences_marked_by_two_words_run_over_lines(spark):
+    texts = ["All rights\nreserved.", "This is free and unencumbered software released into the public\n  domain."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["sentence_ids"] for r in licenses.license_scan(df).collect()}
+    assert out == {0: ["reserved"], 1: ["unlicense"]}
+
+
 def test_every_known_sentence_has_a_marker():
     import re
     for words in licenses.SENTENCES.values():
@@ -159,7 +166,7 @@ def test_words_equal_the_tokenizer():
     path = wavelet.public_tokenizers.path(wavelet.VOCABULARY)
     use, plain, rng = wavelet.Words(path), Tokenizer.from_file(path), random.Random(2)
     plain.encode_special_tokens = True
-    parts = ["a", "B", "Thé", " ", "  ", "\n", "\x1c", " ", "É", "日本", "ΑΣ", "'s", "…", ".", ",", "<|endoftext|>",
+    parts = ["a", "B", "Thé", " ", "  ", "\n", "\x1c", " ", "É", "日本", "ΑΣ", "'s", "…", ".", ",", "#", "%&", "<|endoftext|>",
              "́", "ﬁ", "İ", "ª", "1"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
     for text, ids in zip(texts, use.encode(texts)):
@@ -336,6 +343,14 @@ def test_secret_parts_are_linked(spark):
     assert got[6].startswith("id:161:") and got[6].endswith(f":{len(texts[6])}")
 
 
+def test_short_runs_are_no_secrets_and_hide_none(spark):
+    texts = ["AKIAKIA" + "B" * 10, "AKIA" + "B" * 11, "AKIAB AKIA" + "C" * 12, "a" * 31 + "g" + "b" * 32,
+             "secret: token: abcdefghij", "f" * 31, "AKIAAKIAAKIAAKIA"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secrets.find_secrets(df).collect():
+        assert [tuple(s) for s in row["base_spans"]] == brute.op9_spans(texts[row["doc_id"]]), row
+
+
 def test_many_spans_in_one_text(spark):
     text = "ab token=12345678 " * 1500 + "f" * 40
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
