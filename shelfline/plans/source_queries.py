@@ -24,13 +24,16 @@ def _decoded_sql(expression: str) -> str:
     return f"nullif({_TEXT.replace('(x,', f'({expression},')}, '')"
 
 
+PRICE = r'class="[^"]*price[^"]*"[^>]*>\s*([0-9][0-9.,]*)\s*([A-Z]{3})'
+
+
 @query("extract_pages", f"""
     SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host,
            {_decoded_sql("regexp_extract(html, '<title>([^<]*)', 1)")} AS title,
            CAST(item_no AS INTEGER) AS item_no,
            {_decoded_sql("regexp_extract(parts[item_no + 2], '^([^<]*)', 1)")} AS product_name,
-           TRY_CAST(regexp_extract(parts[item_no + 2], '{pages.PRICE}', 1) AS DOUBLE) AS price,
-           nullif(regexp_extract(parts[item_no + 2], '{pages.PRICE}', 2), '') AS currency
+           TRY_CAST(regexp_extract(parts[item_no + 2], '{PRICE}', 1) AS DOUBLE) AS price,
+           nullif(regexp_extract(parts[item_no + 2], '{PRICE}', 2), '') AS currency
     FROM (SELECT *, unnest(range(0, greatest(len(parts) - 1, 1))) AS item_no
           FROM (SELECT *, string_split_regex(html, '{pages.HEADING}') AS parts
                 FROM pages) AS p) AS i""")

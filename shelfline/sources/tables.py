@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from shelfline.operators.quality import CORRUPT
 from shelfline.schemas import LAYERS, MARKET_TREND, SALE
+from shelfline.session import kept
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType,
@@ -16,6 +18,18 @@ def read_files(spark: SparkSession, path: str, schema: StructType,
     return spark.read.format(fmt).options(**options).schema(schema).load(path)
 
 
+def read_checked(spark: SparkSession, path: str, schema: StructType,
+                 fmt: str, **options) -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed) of csv or json files; the second has the whole text of each bad ``record``.
+
+    The files are parsed once, into the scratch folder, as both frames come from the same pass.
+    """
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = kept(read_files(spark, path, wide, fmt, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options))
+    bad = F.col(CORRUPT).isNotNull()
+    return parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad).select(F.col(CORRUPT).alias("record"))
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str,
               lower: int, upper: int, partitions: int, **options) -> DataFrame:
     """A database table read in parallel key ranges."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfline.operators.quality import split_corrupt
 from shelfline.schemas import EVENT_FILE, PRICE_EVENT, TOPICS
 
 TOPIC_OF_TYPE = {
@@ -43,7 +44,7 @@ def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
     """Events of one topic in the price_event contract.
 
     With ``servers`` the topic is read from a broker and the message value is
-    parsed as JSON; with ``folder`` landed files are replayed. ``per_trigger``
+    parsed as JSON (``parse_messages`` also gives the malformed ones); with ``folder`` landed files are replayed. ``per_trigger``
     limits a micro-batch: offsets for a broker, files for a folder.
     """
     if topic not in TOPICS[:3]:
@@ -56,8 +57,18 @@ def read_topic(spark: SparkSession, topic: str, folder: str | None = None,
         options["maxOffsetsPerTrigger"] = per_trigger
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("kafka").options(**options).load()
-    parsed = F.from_json(F.col("value").cast("string"), PRICE_EVENT)
-    return raw.select(parsed.alias("e")).select("e.*").withColumn("topic", F.lit(topic))
+    return parse_messages(raw, topic)[0]
+
+
+def parse_messages(raw: DataFrame, topic: str) -> tuple[DataFrame, DataFrame]:
+    """(events, malformed) of the messages of a topic, whose column ``value`` holds JSON.
+
+    Messages that are no JSON or break the event contract go to the second frame as text, so none turns
+    into an event of nulls; messages without a value are deletions and hold no event.
+    """
+    texts = raw.filter("value IS NOT NULL").select(F.col("value").cast("string").alias("value"))
+    events, malformed = split_corrupt(texts, "value", PRICE_EVENT)
+    return tuple(df.withColumn("topic", F.lit(topic)) for df in (events, malformed))
 
 
 def all_events(*topics: DataFrame) -> DataFrame:

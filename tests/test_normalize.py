@@ -39,6 +39,17 @@ def test_page_without_product_or_price(spark):
     assert row["product_name"] is None and row["price"] is None and row["item_no"] == 0
 
 
+@pytest.mark.parametrize("block,want", [
+    ('<b class="price">25.000₫</b>', (25000.0, "VND")), ('<b class="price">25.000đ</b>', (25000.0, "VND")),
+    ('<b class="price">$12</b>', (12.0, "USD")), ('<b class="price">€ 1.234,50 now</b>', (1234.5, "EUR")),
+    ('<b class="old-price">9.00 USD</b><b class="price">7.50 USD</b>', (7.5, "USD")),
+    ('<del class="price">9.00 USD</del><b class="price">7.50 USD</b>', (7.5, "USD")),
+    ('<b class="price was">9.00 USD</b>', (9.0, "USD")), ('<b class="price">ask us</b>', (None, None))])
+def test_prices_as_shops_write_them(spark, block, want):
+    row = pages.extract_pages(page(spark, f"<h1><a href='/x'>Name</a></h1>{block}")).first()
+    assert (row["product_name"], row["price"], row["currency"]) == ("Name", *want)
+
+
 def test_links(spark):
     found = pages.extract_links(page(spark, '<a href="/x">x</a> <a  href="/y">y</a>')).collect()
     assert [(r["link_no"], r["link"]) for r in found] == [(0, "/x"), (1, "/y")]
