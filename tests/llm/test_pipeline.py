@@ -1,5 +1,6 @@
 """The pipeline stage by stage against plain versions, and as a whole."""
 
+import random
 from collections import Counter
 
 import brute
@@ -59,3 +60,30 @@ def test_whole_run_equals_its_stages(spark):
     out = pipeline.run(spark, SF_DIR)
     key = lambda df: Counter(map(tuple, df.select("doc_id", "n_tokens", F.hash("token_ids")).collect()))
     assert key(out) == key(docs)
+
+
+def words_of(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def test_edited_copies_go_and_others_stay(spark):
+    rows = []
+    for i in range(40):
+        base = words_of(i, 300)
+        for k in range(4):  # edits of one base: 0, 3, 5 and 40 changed words
+            words = list(base)
+            for at in random.Random(k).sample(range(300), (0, 3, 5, 40)[k]):
+                words[at] = "changed"
+            rows.append((4 * i + k, " ".join(words), "en", "a", 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    text, stay = {r[0]: r[1] for r in rows}, {r["doc_id"] for r in pipeline.single_copies(spark, df, SF_DIR).collect()}
+    for i in range(40):
+        near = {k for k in (1, 2, 3) if max(jaccard(text[4 * i + k], text[4 * i + j]) for j in range(k)) >= 0.8}
+        assert 4 * i in stay and {k for k in (1, 2, 3) if 4 * i + k not in stay} == near
+        assert 1 in near and 3 not in near
