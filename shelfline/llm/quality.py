@@ -9,6 +9,7 @@ its language holds too small a share of the corpus to have a reference.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -25,7 +26,11 @@ MAX_REPEATED = 30       # most per cent of words in repeated windows
 GUARD_WORDS = 50        # documents with fewer are not compared with a reference
 COMMON_WORDS = 40       # words of a language's histogram, besides "any other"
 LANGUAGE_SHARE = 0.001  # least share of all words for a language to have a reference
-MAX_CHARS, MAX_COMMON = 0.30, 0.65  # largest distances of a kept document
+MAX_CHARS = 0.30        # largest distance of a kept document's character classes
+# A text without any common word has distance d0 from its language's reference. A kept document is nearer than NO_COMMON
+# of it, and than MAX_COMMON of it with NOISE times the square that chance alone gives so many words:
+# COMMON_WORDS / (8 ln 2 n). Documents in which fewer than EXPECTED common words are due can lack them by chance.
+MAX_COMMON, NO_COMMON, NOISE, EXPECTED = 0.5, 0.95, 1.5, 10
 
 # Symbols counted by the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -135,6 +140,16 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((total(p) > 0) & (total(q) > 0), of(p, q, total(p), total(q)))
 
 
+def max_common(common: Column, ref: Column) -> Column:
+    """Largest distance of a kept document's common words; null if too few are due to judge."""
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    lacking = js_distance(F.array(*[F.lit(int(i == 0)) for i in range(COMMON_WORDS + 1)]), ref)
+    chance = F.lit(NOISE * COMMON_WORDS / (8 * math.log(2))) / total(common)
+    due = total(common) * (1 - F.get(ref, F.lit(0)) / total(ref))
+    limit = F.least(NO_COMMON * lacking, F.sqrt((MAX_COMMON * lacking) ** 2 + chance))
+    return F.when((total(common) > 0) & (due >= EXPECTED), limit)
+
+
 def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The document's measures and verdict, in place of its text.
 
@@ -187,5 +202,5 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
             .withColumn("base_failed", (n < MIN_WORDS) | (100 * n_repeat > MAX_REPEATED * n))
             .withColumn("kept", ~F.col("base_failed")
                         & (F.coalesce(F.col("chars_js"), F.lit(0.0)) <= MAX_CHARS)
-                        & (F.coalesce(F.col("common_js"), F.lit(0.0)) <= MAX_COMMON))
+                        & F.coalesce(F.col("common_js") <= max_common(F.col("common"), F.col("ref_common")), F.lit(True)))
             .select(F.col("id").alias(id), *names[:5], "chars_js", "common_js", "base_failed", "kept"))

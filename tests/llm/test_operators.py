@@ -309,6 +309,24 @@ def test_quality_divergence(spark):
     assert out[102]["chars_js"] is None
 
 
+def _tongues():
+    rng = random.Random(9)
+    common = {"en": "the of and to in is it on that for was as with be by".split(),
+              "fr": "le de la et les des un une que pour dans qui sur pas au".split()}
+    letters = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9)))
+    return lambda tongue, n: " ".join(rng.choice(common[tongue]) if tongue in common and rng.random() < 0.33 else letters()
+                                      for _ in range(n))
+
+
+def test_quality_rejects_texts_without_their_languages_words(spark):
+    text = _tongues()
+    rows = [(100 * (t == "fr") + i, text(t, n), t) for t in ("en", "fr") for i, n in enumerate([60, 90, 150, 300, 600] * 12)]
+    rows += [(1000 + i, text("gibberish", n), "en") for i, n in enumerate([60, 150, 600])]
+    rows += [(2000 + i, text("fr", n), "en") for i, n in enumerate([60, 150, 600])]
+    out = quality.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted(r["doc_id"] for r in out if not r["kept"]) == [1000, 1001, 1002, 2000, 2001, 2002]
+
+
 def test_js_distance(spark):
     def plain(p, q):
         p, q = np.array(p) / sum(p), np.array(q) / sum(q)
