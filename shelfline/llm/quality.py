@@ -4,7 +4,7 @@ Each document is measured in one pass: words, symbols, repeated lines and window
 histogram of character classes and one of its language's most common words. The references are the
 same histograms summed over *all* documents of the language. A document is rejected when its Jensen-Shannon
 distance from its language's reference is too large, unless it is too short to judge or
-its language holds too small a share of the corpus to have a reference.
+its language has too few words of its own for a reference. References are tables joined by language.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ MIN_WORDS = 20          # fewer fail the base rules
 MAX_REPEATED = 30       # most per cent of words in repeated windows
 GUARD_WORDS = 50        # documents with fewer are not compared with a reference
 COMMON_WORDS = 40       # words of a language's histogram, besides "any other"
-LANGUAGE_SHARE = 0.001  # least share of all words for a language to have a reference
+REFERENCE_WORDS = 5_000  # least words of a language to have a reference
 MAX_CHARS = 0.30        # largest distance of a kept document's character classes
 # A text without any common word has distance d0 from its language's reference. A kept document is nearer than NO_COMMON
 # of it, and than MAX_COMMON of it with NOISE times the square that chance alone gives so many words:
@@ -83,11 +83,10 @@ def measures(text: str) -> tuple[int, int, int, int, int, list[int]]:
             [classes.count(c) for c in range(CLASSES)])
 
 
-def common_words(docs: DataFrame, text: str, lang: str) -> dict[str, dict[bytes, int]]:
-    """The most common words of each language with their counts over all documents.
+def common_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """``lang`` and ``listed``, its most common words over all documents in order, with blanks between.
 
-    "" stands for the count of all words. Only languages with LANGUAGE_SHARE of all words are listed, so at
-    most 1 / LANGUAGE_SHARE x (COMMON_WORDS + 1) rows reach the driver.
+    Languages of at least REFERENCE_WORDS words have a row.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -114,15 +113,13 @@ def common_words(docs: DataFrame, text: str, lang: str) -> dict[str, dict[bytes,
     counts = kept(by_batches(taken, count, "lang string, word binary, n long")
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = counts.filter(F.octet_length("word") == 0)
-    whole = totals.agg(F.sum("n")).first()[0] or 0
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    # The count of all words sorts first, being the largest, with the shortest key.
-    top = (counts.join(totals.filter(F.col("n") > whole * LANGUAGE_SHARE).select("lang"), "lang", "left_semi")
-           .withColumn("place", place).filter(F.col("place") <= COMMON_WORDS + 1))
-    found: dict[str, dict[bytes, int]] = {}
-    for row in top.orderBy("lang", "place").collect():
-        found.setdefault(row["lang"], {})[bytes(row["word"])] = row["n"]
-    return found
+    top = (counts.filter(F.octet_length("word") > 0)
+           .join(totals.filter(F.col("n") >= REFERENCE_WORDS).select("lang"), "lang", "left_semi")
+           .withColumn("place", place).filter(F.col("place") <= COMMON_WORDS))
+    words = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col("word").cast("string").alias("word")))),
+                        lambda x: x["word"])
+    return kept(top.groupBy("lang").agg(F.array_join(words, " ").alias("listed")))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -155,22 +152,21 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
 
     Returns ``id`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, chars_js, common_js,
     base_failed and kept. A null text has no words and fails; a null language is a language of its own;
-    an unknown or rare one has no reference, so only the base rules decide. Repeated rows get a row each.
+    one with few words has no reference, so only the base rules decide. Repeated rows get a row each.
     """
-    common = common_words(docs, text, lang)
-    lists = {tongue: {w: i for i, w in enumerate(words) if w} for tongue, words in common.items()}
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            heard = batch.column("listed").dictionary_encode()
+            lists = [{w: i for i, w in enumerate(words.encode().split(b" "), 1)} for words in heard.dictionary.to_pylist()]
             out: list[list] = [[] for _ in range(7)]
-            for value, tongue in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+            for value, listed in zip(batch.column("text").to_pylist(), heard.indices.to_pylist()):
                 found = measures(value or "")
                 for column, x in zip(out, found):
                     column.append(x)
-                places = lists.get(tongue)
-                if places is None:
+                if listed is None:
                     out[6].append(None)
                     continue
+                places = lists[listed]
                 words = (value or "").encode().translate(_PLAIN).split()
                 bins = [0] * (COMMON_WORDS + 1)
                 for word, n in Counter(words).items():
@@ -183,10 +179,11 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars", "common"]
     taken = docs.select(F.col(id).alias("id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"),
-                        F.col(text).alias("text"))
+                        F.col(text).alias("text")).join(common_words(docs, text, lang), "lang", "left")
+    taken = taken.select("id", "lang", "text", "listed")
     counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
     stats = kept(by_batches(taken, work, widened(
-        taken.drop("text"), *counts.split(", "), "chars array<long>", "common array<long>")))
+        taken.drop("text", "listed"), *counts.split(", "), "chars array<long>", "common array<long>")))
 
     sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(CLASSES)]
     sums += [F.sum(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(COMMON_WORDS + 1)]

@@ -327,6 +327,16 @@ def test_quality_rejects_texts_without_their_languages_words(spark):
     assert sorted(r["doc_id"] for r in out if not r["kept"]) == [1000, 1001, 1002, 2000, 2001, 2002]
 
 
+def test_quality_judges_a_language_of_small_share(spark):
+    text = _tongues()
+    rows = [(i, text("fr", 300), "fr") for i in range(30)] + [(100 + i, text("gibberish", 300), "fr") for i in range(2)]
+    other = spark.range(20).selectExpr("id + 1000 AS doc_id", "array_join(transform(sequence(1, 600000), x -> "
+                                       "'word'), ' ') AS text", "'en' AS lang")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").unionByName(other)
+    out = quality.measured(df).filter("doc_id < 1000").collect()
+    assert sorted(r["doc_id"] for r in out if not r["kept"]) == [100, 101]
+
+
 def test_js_distance(spark):
     def plain(p, q):
         p, q = np.array(p) / sum(p), np.array(q) / sum(q)
