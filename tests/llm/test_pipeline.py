@@ -87,3 +87,12 @@ def test_edited_copies_go_and_others_stay(spark):
         near = {k for k in (1, 2, 3) if max(jaccard(text[4 * i + k], text[4 * i + j]) for j in range(k)) >= 0.8}
         assert 4 * i in stay and {k for k in (1, 2, 3) if 4 * i + k not in stay} == near
         assert 1 in near and 3 not in near
+
+
+def test_one_row_of_each_component(spark):
+    a, b, c, d = (" ".join(words_of(i, 60)) for i in range(4))
+    texts = [(1, a), (1, a), (2, a), (1, b), (None, c), (None, c), (None, d), (5, d), (0, b)]
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in texts],
+                               "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    for stage in (pipeline.near_copies, pipeline.single_copies):
+        assert Counter((r[0], r[1]) for r in rows_of(stage(spark, df, SF_DIR))) == Counter([(1, a), (0, b), (None, c), (5, d)])
