@@ -58,6 +58,15 @@ SENTENCES = {
                  "hereby granted provided that the above copyright notice and this permission notice appear in all "
                  "copies",
     "reserved": "all rights reserved",
+    # Notices with marks inside, as the splitter cuts them.
+    "gpl-program": "this program is free software",
+    "gpl3-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published "
+                  "by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published "
+                  "by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "mpl-form": "this source code form is subject to the terms of the mozilla public license v",
 }
 # Ordered rules: (license, identifiers that follow one another). All that hold are reported, each license once.
 RULES = (
@@ -69,9 +78,11 @@ RULES = (
     ("BSD", ("bsd-grant", "bsd-source", "bsd-binary")), ("BSD", ("bsd-notice",)), ("BSD-3-Clause", ("bsd3-notice",)),
     ("CC-BY-4.0", ("cc-by-work",)), ("CC-BY-4.0", ("cc-by-notice",)), ("CC-BY-SA-4.0", ("cc-by-sa-work",)),
     ("Unlicense", ("unlicense",)), ("ISC", ("isc-grant",)),
+    ("GPL-3.0-or-later", ("gpl-program", "gpl3-terms", "gpl-useful", "gpl-implied")),
+    ("GPL-2.0-or-later", ("gpl-program", "gpl2-terms", "gpl-useful", "gpl-implied")), ("MPL-2.0", ("mpl-form",)),
 )
 # Every known sentence has one of these words, so texts without them have no sentence to look for.
-MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|free[^a-z0-9]+software|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 # A sentence ends at marks before white space or the end, or at an empty line.
 _END, _CUT = r"[.;:!?]+([ \t\r\n]|$)", "\x1e|\n[ \t\r]*\n"
 _GLUE = r"[^a-z0-9]+"

@@ -120,6 +120,39 @@ def test_sentences_marked_by_two_words_run_over_lines(spark):
     assert out == {0: ["reserved"], 1: ["unlicense"]}
 
 
+GPL = """    This program is free software{} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{} either version {} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details."""
+NOTICES = {
+    "GPL-3.0-or-later": GPL.format(":", ",", 3), "GPL-2.0-or-later": GPL.format(";", ";", 2).replace("Foundation;", "Foundation,"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was "
+               "not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in '
+                  "compliance with the License.\nYou may obtain a copy of the License at",
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+           "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n"
+           "   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+           "copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other "
+           "materials provided with the distribution.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+           "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+}
+
+
+def test_original_notices(spark):
+    df = spark.createDataFrame(list(NOTICES.items()), "doc_id string, text string")
+    assert {r["doc_id"]: r["licenses"] for r in licenses.license_scan(df).collect()} == {k: [k] for k in NOTICES}
+
+
 def test_every_known_sentence_has_a_marker():
     import re
     for words in licenses.SENTENCES.values():
