@@ -81,8 +81,42 @@ RULES = (
     ("GPL-3.0-or-later", ("gpl-program", "gpl3-terms", "gpl-useful", "gpl-implied")),
     ("GPL-2.0-or-later", ("gpl-program", "gpl2-terms", "gpl-useful", "gpl-implied")), ("MPL-2.0", ("mpl-form",)),
 )
+# Short notices: an opening, a verb and the name of a license; the identifier is the notice itself with hyphens.
+OPENINGS = ("", "this project is ", "this work is ", "this file is ")
+VERBS = ("released under ", "licensed under ", "distributed under ")
+
+
+def _names() -> dict[str, str]:
+    """License by the words that name it in a short notice."""
+    found = {"the apache license version 2 0": "Apache-2.0", "apache 2 0": "Apache-2.0", "cc0": "CC0-1.0", "cc0 1 0": "CC0-1.0",
+             "cc0 1 0 universal": "CC0-1.0", "the creative commons zero v1 0 universal license": "CC0-1.0",
+             "the unlicense": "Unlicense"}
+    for words, name in (("mit", "MIT"), ("isc", "ISC"), ("bsd", "BSD"), ("bsd 2 clause", "BSD-2-Clause"),
+                        ("bsd 3 clause", "BSD-3-Clause")):
+        found |= {f"the {words} license": name, words: name}
+    for short, long, n in (("gpl", "gnu general", 2), ("gpl", "gnu general", 3), ("agpl", "gnu affero general", 3),
+                           ("lgpl", "gnu lesser general", 3), ("mpl", "mozilla", 2)):
+        found |= {words: f"{short.upper()}-{n}.0" for words in (
+            f"the {long} public license version {n}", f"the {long} public license version {n} 0",
+            f"the {long} public license v{n} 0", f"{short} {n} 0", f"{short}v{n}", f"the {short}v{n}")}
+    long = {"by": "attribution", "nc": "noncommercial", "nd": "noderivatives", "sa": "sharealike"}
+    for kind in ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd"):
+        name, words = f"CC-{kind.upper().replace(' ', '-')}", " ".join(long[k] for k in kind.split())
+        found |= {f"cc {kind}": name, f"cc {kind} 4 0": f"{name}-4.0", f"cc {kind} 3 0": f"{name}-3.0"}
+        found |= {f"{the} creative commons {words} 4 0 international license": f"{name}-4.0" for the in ("a", "the")}
+    return found
+
+
+NAMES = _names()
+# What code looks up in one map; SENTENCES and RULES also list all short notices.
+KNOWN, ORDERED = dict(SENTENCES), RULES
+_LISTED = {o + v + n: name for o in OPENINGS for v in VERBS for n, name in NAMES.items()}
+_LISTED = {words: name for words, name in _LISTED.items() if words not in set(KNOWN.values())}
+SENTENCES |= {words.replace(" ", "-"): words for words in _LISTED}
+RULES += tuple((name, (words.replace(" ", "-"),)) for words, name in _LISTED.items())
+_OPENING = f"^({'|'.join(o for o in OPENINGS if o)})?({'|'.join(VERBS)})"
 # Every known sentence has one of these words, so texts without them have no sentence to look for.
-MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|free[^a-z0-9]+software|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
+MARKERS = r"(?i)licen|permission|copyright|redistribut|warrant|free[^a-z0-9]+software|(releas|distribut)ed[^a-z0-9]+under|public[^a-z0-9]+domain|rights[^a-z0-9]+reserved"
 # A sentence ends at marks before white space or the end, or at an empty line.
 _END, _CUT = r"[.;:!?]+([ \t\r\n]|$)", "\x1e|\n[ \t\r]*\n"
 _GLUE = r"[^a-z0-9]+"
@@ -92,13 +126,19 @@ def _normal(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), _GLUE, " "))
 
 
+def _named() -> Column:
+    return F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+
+
 def identifiers(text: Column) -> Column:
     """The identifiers of the known sentences of a text in order.
 
     Sentences may run over line ends; one that is not known is looked at line by line.
     """
-    known = F.create_map(*[F.lit(x) for name, words in SENTENCES.items() for x in (words, name)])
-    look = lambda s: F.try_element_at(known, _normal(s))
+    known = F.create_map(*[F.lit(x) for name, words in KNOWN.items() for x in (words, name)])
+    short = lambda n: F.when(n.rlike(_OPENING) & F.try_element_at(_named(), F.regexp_replace(n, _OPENING, "")).isNotNull(),
+                             F.replace(n, F.lit(" "), F.lit("-")))
+    look = lambda s: F.coalesce(F.try_element_at(known, _normal(s)), short(_normal(s)))
     sentences = F.split(F.regexp_replace(text, _END, "\x1e$1"), _CUT, -1)
     found = F.transform(sentences, lambda s: F.transform(F.array(look(s)), lambda whole: F.when(
         whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.split(s, "\n", -1), look)))[0])
@@ -115,9 +155,12 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs.withColumn("sentence_ids", identifiers(F.coalesce(F.col(text), F.lit(""))))
     line = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
     rules = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(f",{','.join(ids)},").alias("ids"))
-                      for name, ids in RULES])
+                      for name, ids in ORDERED])
     held = F.transform(F.array(line), lambda l: F.transform(
         F.filter(rules, lambda r: F.contains(l, r["ids"])), lambda r: r["license"]))[0]
+    brief = F.filter(F.transform("sentence_ids", lambda i: F.try_element_at(_named(), F.regexp_replace(
+        F.replace(i, F.lit("-"), F.lit(" ")), _OPENING, ""))), lambda i: i.isNotNull())
+    held = F.concat(held, brief)
     none = F.array().cast("array<string>")
     return out.withColumn("licenses", F.when(F.size("sentence_ids") > 0, F.array_sort(F.array_distinct(held)))
                           .otherwise(none))

@@ -153,6 +153,17 @@ def test_original_notices(spark):
     assert {r["doc_id"]: r["licenses"] for r in licenses.license_scan(df).collect()} == {k: [k] for k in NOTICES}
 
 
+def test_short_notices(spark):
+    texts = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under CC BY 4.0": "CC-BY-4.0",
+             "This file is distributed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Released under CC0.": "CC0-1.0",
+             "This project is licensed under the MIT License": "MIT", "Distributed under the BSD 3-Clause License.": "BSD-3-Clause",
+             "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.":
+                 "CC-BY-NC-ND-4.0", "Licensed under the GNU Affero General Public License v3.0": "AGPL-3.0"}
+    df = spark.createDataFrame(list(texts.items()), "text string, want string")
+    assert all(r["licenses"] == [r["want"]] for r in licenses.license_scan(df).collect())
+    assert len(licenses.SENTENCES) == len(set(licenses.SENTENCES.values()))
+
+
 def test_every_known_sentence_has_a_marker():
     import re
     for words in licenses.SENTENCES.values():
