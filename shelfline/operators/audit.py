@@ -7,9 +7,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import (
-    LongType, MapType, StringType, StructField, StructType, TimestampType,
+    BooleanType, LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
+from shelfline.session import scratch_scope
+
 AUDIT = StructType([
     StructField("run_id", StringType()), StructField("step", StringType()),
     StructField("started_at", TimestampType()), StructField("ended_at", TimestampType()),
@@ -17,32 +19,28 @@ AUDIT = StructType([
 ])
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with a row count observed while it runs, at no extra pass."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def audited(spark: SparkSession, audit_path: str, run_id: str, step: str, source: DataFrame,
-            work: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+            work: Callable[[DataFrame], DataFrame],
             write: Callable[[DataFrame], None],
             reject: Callable[[DataFrame], None]) -> dict[str, int]:
-    """Run ``work`` (frame to good and bad rows), write both and log one audit row.
+    """Run ``work`` (frame to rows with the rules they fail, see ``quality.checked``), write both kinds, log one audit row.
 
-    A failed step is logged with status "failed" and raises. Rows out and rejected
-    are counted as they are written; rows in by a scan that reads no columns.
+    The source is read and worked on once: one job counts the rows that go in, out and to the side and writes them
+    with the flag ``_rejected`` as partition, from which ``write`` and ``reject`` each read their own part. A failed
+    step is logged with status "failed" and raises. The copy between goes when the step ends.
     """
-    started, counts = datetime.now(timezone.utc), {}
-    status = "failed"
+    started, counts, status = datetime.now(timezone.utc), {}, "failed"
     try:
-        good, bad = work(source)
-        good, seen_good = counted(good, f"{step}-out")
-        write(good)
-        counts["rows_out"] = seen_good.get["rows"]
-        bad, seen_bad = counted(bad, f"{step}-rejected")
-        reject(bad)
-        counts["rows_rejected"] = seen_bad.get["rows"]
-        counts["rows_in"] = source.count()
+        with scratch_scope(spark) as folder:
+            seen, split = Observation(f"{step}-in"), Observation(f"{step}-out")
+            rows = work(source.observe(seen, F.count(F.lit(1)).alias("rows")))
+            bad = F.size("failed") > 0
+            rows = rows.observe(split, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+            rows.withColumn("_rejected", bad).write.partitionBy("_rejected").parquet(f"{folder}/rows")
+            both = spark.read.schema(StructType([*rows.schema.fields, StructField("_rejected", BooleanType())])).parquet(f"{folder}/rows")
+            write(both.filter("NOT _rejected").drop("failed", "_rejected"))
+            reject(both.filter("_rejected").drop("_rejected"))
+            counts = {"rows_in": seen.get["rows"], "rows_out": split.get["good"], "rows_rejected": split.get["bad"]}
         status = "done"
     finally:
         row = (run_id, step, started, datetime.now(timezone.utc), status, counts)

@@ -42,7 +42,7 @@ def build_silver(spark: SparkSession, root: str, run_id: str) -> dict[str, dict[
     def step(name: str, source: DataFrame, rules: dict, dataset: str, partition: str):
         return audited(
             spark, f"{root}/audit", run_id, name, source,
-            lambda df: quality.validate(df, rules),
+            lambda df: quality.checked(df, rules),
             lambda good: write_silver(good, root, dataset, [partition], whole=True),
             lambda bad: bad.write.mode("overwrite").parquet(f"{root}/rejected/{dataset}/{run_id}"))
 

@@ -122,24 +122,25 @@ def bronze_layer(spark, d):
 
 
 @query("silver_layer", sql("sale", """
-    SELECT order_id, line_no, product_id, qty, T(net_price) AS net_price, is_promo, category
+    SELECT order_id, line_no, product_id, retailer_id, strftime(sold_at, '%Y-%m-%d') AS sold_on, qty,
+           T(amount) AS amount, T(discount) AS discount, T(net_price) AS net_price, is_promo, category, brand
     FROM sale"""))
 def silver_layer(spark, d):
     root = scratch(spark)
     layers.write_silver(fx.sales(spark, d), root, "categorized", ["category"])
-    return rounded(tables.read_layer(spark, root, "silver", "categorized").select(
-        "order_id", "line_no", "product_id", "qty", "net_price", "is_promo", "category"),
-        "net_price")
+    sold = tables.read_layer(spark, root, "silver", "categorized")
+    return rounded(sold, "amount", "discount", "net_price").withColumn("sold_on", day("sold_at")).drop("sold_at")
 
 
 @query("gold_layer", sql("gap", """
-    SELECT product_id, T(own_price) AS own_price, T(gap) AS gap FROM gap"""))
+    SELECT product_id, T(own_price) AS own_price, n_competitors, T(competitor_min) AS competitor_min,
+           T(competitor_avg) AS competitor_avg, T(competitor_max) AS competitor_max, T(gap) AS gap FROM gap"""))
 def gold_layer(spark, d):
     root = scratch(spark)
     gap = price.price_gap(price.current_price(fx.observations(spark, d)))
     layers.write_gold(gap, root, "price_analytics", "price_gap")
     gold = tables.read_layer(spark, root, "gold", "price_analytics/price_gap")
-    return rounded(gold.select("product_id", "own_price", "gap"), "own_price", "gap")
+    return rounded(gold, "own_price", "competitor_min", "competitor_avg", "competitor_max", "gap")
 
 
 @query("upsert", sql("cur", """
@@ -237,34 +238,41 @@ def dedup(spark, d):
 _RULES = {"price_floor": "price >= 100", "price_ceiling": "price <= 50000"}
 
 
-@query("validate", sql("obs", """
+# A line in six points at a product that does not exist.
+_POINTED = """pointed AS (SELECT * REPLACE (CASE WHEN line_no = 6 THEN -product_id ELSE product_id END AS product_id)
+    FROM obs)"""
+
+
+def _checked(spark, d):
+    lines = fx.observations(spark, d).withColumn(
+        "product_id", F.when(F.col("line_no") == 6, -F.col("product_id")).otherwise(F.col("product_id")))
+    return quality.validate(lines, {n: F.expr(r) for n, r in _RULES.items()}, {"product_id": fx.products(spark, d)})
+
+
+@query("validate", sql("obs", f""", {_POINTED}
     SELECT order_id, line_no, product_id, retailer_id, T(price) AS price,
            array_to_string(list_filter([CASE WHEN NOT price >= 100 THEN 'price_floor' END,
                CASE WHEN NOT price <= 50000 THEN 'price_ceiling' END,
-               CASE WHEN product_id NOT IN (SELECT p_partkey FROM part WHERE p_retailprice < 990)
+               CASE WHEN product_id NOT IN (SELECT p_partkey FROM part)
                     THEN 'product_id_known' END], lambda x: x IS NOT NULL), ',') AS failed
-    FROM obs WHERE NOT price >= 100 OR NOT price <= 50000
-       OR product_id NOT IN (SELECT p_partkey FROM part WHERE p_retailprice < 990)"""))
+    FROM pointed WHERE NOT price >= 100 OR NOT price <= 50000
+       OR product_id NOT IN (SELECT p_partkey FROM part)"""))
 def validate(spark, d):
-    listed = fx.products(spark, d).filter("list_price < 990")
-    _, bad = quality.validate(fx.observations(spark, d), {n: F.expr(r) for n, r in _RULES.items()},
-                              {"product_id": listed})
+    _, bad = _checked(spark, d)
     return rounded(bad, "price").withColumn("failed", F.array_join("failed", ",")).drop(
         "observed_at")
 
 
-@query("validate_good", sql("obs", """
+@query("validate_good", sql("obs", f""", {_POINTED}
     SELECT order_id, line_no, product_id, retailer_id, T(price) AS price
-    FROM obs WHERE price >= 100 AND price <= 50000
-      AND product_id IN (SELECT p_partkey FROM part WHERE p_retailprice < 990)"""))
+    FROM pointed WHERE price >= 100 AND price <= 50000
+      AND product_id IN (SELECT p_partkey FROM part)"""))
 def validate_good(spark, d):
-    listed = fx.products(spark, d).filter("list_price < 990")
-    good, _ = quality.validate(fx.observations(spark, d), {n: F.expr(r) for n, r in _RULES.items()},
-                               {"product_id": listed})
+    good, _ = _checked(spark, d)
     return rounded(good, "price").drop("observed_at")
 
 
-_PROFILED = ("order_id", "line_no", "product_id", "price")
+_PROFILED = ("product_id", "retailer_id", "observed_at", "price", "order_id", "line_no")
 
 
 @query("profile", sql("obs", """
@@ -277,45 +285,46 @@ _PROFILED = ("order_id", "line_no", "product_id", "price")
     UNION ALL SELECT 'out_of_range_rate', 'price',
         T(avg(CASE WHEN price BETWEEN 100 AND 50000 THEN 0.0 ELSE 1.0 END)) FROM obs"""))
 def profile(spark, d):
-    out = quality.profile(fx.observations(spark, d).select(*_PROFILED), ["order_id", "line_no"],
+    out = quality.profile(fx.observations(spark, d), ["order_id", "line_no"],
                           {"price": (100, 50000)}, exact=True)
     return rounded(out, "value")
 
 
-@query("reconcile", sql("sale", """
-, a AS (SELECT product_id, count(*) AS n, sum(qty) AS qty FROM sale
-               WHERE sold_at < TIMESTAMP '2001-06-01' GROUP BY product_id),
-    b AS (SELECT product_id, count(*) AS n, sum(qty) AS qty FROM sale
-          WHERE sold_at >= TIMESTAMP '1995-06-01' AND discount <= 0.09 GROUP BY product_id)
-    SELECT product_id, a.n AS rows_a, b.n AS rows_b, T(b.qty - a.qty) AS qty_diff,
-           CASE WHEN a.n IS NULL THEN 'missing_left' WHEN b.n IS NULL THEN 'missing_right'
+# The other layer has all sales too: some under another product, some with a unit more.
+_OTHER_SALES = """b AS (SELECT CASE WHEN sold_at < TIMESTAMP '1995-06-01' THEN -product_id ELSE product_id END AS product_id,
+    qty + CASE WHEN discount > 0.09 THEN 1 ELSE 0 END AS qty FROM sale)"""
+
+
+@query("reconcile", sql("sale", f"""
+, {_OTHER_SALES},
+    x AS (SELECT product_id, count(*) AS n, sum(qty) AS qty FROM sale GROUP BY product_id),
+    y AS (SELECT product_id, count(*) AS n, sum(qty) AS qty FROM b GROUP BY product_id)
+    SELECT product_id, x.n AS rows_a, y.n AS rows_b, T(y.qty - x.qty) AS qty_diff,
+           CASE WHEN x.n IS NULL THEN 'missing_left' WHEN y.n IS NULL THEN 'missing_right'
                 ELSE 'differs' END AS status
-    FROM a FULL JOIN b USING (product_id)
-    WHERE a.n IS DISTINCT FROM b.n OR a.qty IS DISTINCT FROM b.qty"""))
+    FROM x FULL JOIN y USING (product_id)
+    WHERE x.n IS DISTINCT FROM y.n OR x.qty IS DISTINCT FROM y.qty"""))
 def reconcile(spark, d):
     sold = fx.sales(spark, d)
-    out = quality.reconcile(
-        sold.filter("sold_at < '2001-06-01'"),
-        sold.filter("sold_at >= '1995-06-01' AND discount <= 0.09"), ["product_id"], ["qty"])
-    return rounded(out, "qty_diff")
+    other = sold.withColumns({
+        "product_id": F.when(F.col("sold_at") < "1995-06-01", -F.col("product_id")).otherwise(F.col("product_id")),
+        "qty": F.col("qty") + F.when(F.col("discount") > 0.09, 1).otherwise(0)})
+    return rounded(quality.reconcile(sold, other, ["product_id"], ["qty"]), "qty_diff")
 
 
 @query("changed_rows", sql("obs", """
-    SELECT product_id, retailer_id, 'a' AS side FROM (
-        SELECT product_id, retailer_id FROM obs WHERE observed_at < TIMESTAMP '1998-07-01'
-        EXCEPT ALL
-        SELECT product_id, retailer_id FROM obs WHERE observed_at >= TIMESTAMP '1998-07-01') AS x
-    UNION ALL
-    SELECT product_id, retailer_id, 'b' FROM (
-        SELECT product_id, retailer_id FROM obs WHERE observed_at >= TIMESTAMP '1998-07-01'
-        EXCEPT ALL
-        SELECT product_id, retailer_id FROM obs WHERE observed_at < TIMESTAMP '1998-07-01') AS y
-    """))
+, b AS (SELECT * REPLACE (CASE WHEN line_no = 3 THEN retailer_id + 1 ELSE retailer_id END AS retailer_id) FROM obs)
+    SELECT product_id, retailer_id, strftime(observed_at, '%Y-%m-%d') AS observed_on, T(price) AS price,
+           order_id, line_no, side FROM (
+        SELECT *, 'a' AS side FROM (SELECT * FROM obs EXCEPT ALL SELECT * FROM b) AS x
+        UNION ALL SELECT *, 'b' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM obs) AS y) AS z"""))
 def changed_rows(spark, d):
+    """All lines against a copy in which one line number went to another retailer."""
     obs = fx.observations(spark, d)
-    keys = ["product_id", "retailer_id"]
-    return quality.changed_rows(obs.filter("observed_at < '1998-07-01'").select(*keys),
-                                obs.filter("observed_at >= '1998-07-01'").select(*keys))
+    other = obs.withColumn("retailer_id", F.when(
+        F.col("line_no") == 3, F.col("retailer_id") + 1).otherwise(F.col("retailer_id")))
+    found = rounded(quality.changed_rows(obs, other.select(*obs.columns)), "price")
+    return found.withColumn("observed_on", day("observed_at")).drop("observed_at")
 
 
 def broken_payloads(events):
@@ -347,7 +356,7 @@ def audit(spark, d):
     root = scratch(spark)
     rules = {n: F.expr(r) for n, r in _RULES.items()}
     audited(spark, f"{root}/audit", "run-1", "validate", fx.observations(spark, d),
-            lambda df: quality.validate(df, rules),
+            lambda df: quality.checked(df, rules),
             lambda df: layers.write_silver(df, root, "normalized"),
             lambda df: df.write.mode("overwrite").parquet(f"{root}/rejected"))
     return audit_log(spark, f"{root}/audit").select(
@@ -446,7 +455,7 @@ def names(spark, d):
           FROM (SELECT p_partkey AS product_id, p_brand AS brand,
                        CASE WHEN p_type IN ('SMALL', 'LARGE') THEN replace(p_name, 'a', '')
                             WHEN p_type = 'PROMO' THEN p_name || 'xyz' ELSE p_name END AS name
-                FROM part WHERE p_retailprice >= 920) AS n)
+                FROM part) AS n)
     SELECT product_id, brand, match_id, CAST(distance AS INTEGER) AS distance
     FROM (SELECT a.product_id, a.brand, b.product_id AS match_id,
                  levenshtein(a.name, b.name) AS distance
@@ -455,7 +464,7 @@ def names(spark, d):
 def match_products(spark, d):
     """The own range against a competitor range with misspelt names."""
     own = fx.products(spark, d).select("product_id", "brand", "name")
-    other = fx.products(spark, d).filter("list_price >= 920").select(
+    other = fx.products(spark, d).select(
         "product_id", "brand", F.when(F.col("category").isin("SMALL", "LARGE"),
                                       F.replace("name", F.lit("a"), F.lit("")))
         .when(F.col("category") == "PROMO", F.concat("name", F.lit("xyz")))

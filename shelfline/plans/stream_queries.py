@@ -113,7 +113,10 @@ _CHANGES = """SELECT product_id, retailer_id, event_id,
 
 @query("detect_changes", sql("event", _CHANGES))
 def detect_changes(spark, d):
-    found = changes.drained(changes.detect_changes(_stream(spark, d)))
+    """All events of the file as a stream, compared batch by batch."""
+    path = scratch(spark)
+    changes.run_available(changes.detect_changes(_stream(spark, d), f"{path}/changes", f"{path}/checkpoint"))
+    found = changes.read_changes(spark, f"{path}/changes")
     return rounded(found, "pct").withColumn("event_time", second("event_time"))
 
 
@@ -121,9 +124,9 @@ def detect_changes(spark, d):
 def alerts(spark, d):
     """Alerts written as JSON messages by a stream and read back."""
     path = scratch(spark)
-    found = changes.alerts(changes.detect_changes(_stream(spark, d)))
-    changes.run_available(changes.write_alerts(found, f"{path}/checkpoint", f"{path}/alerts"))
-    messages = spark.read.schema("key string, value string").parquet(f"{path}/alerts")
+    changes.run_available(changes.detect_changes(
+        _stream(spark, d), f"{path}/changes", f"{path}/checkpoint", 0.1, changes.send_alerts(f"{path}/alerts")))
+    messages = changes.read_alerts(spark, f"{path}/alerts")
     read = messages.select(F.from_json("value", ALERT).alias("a")).select("a.*")
     return rounded(read, "pct").withColumn("event_time", second("event_time"))
 
@@ -186,20 +189,34 @@ def live_prices(spark, d):
         "new_price")
 
 
-@query("latency", sql("event", """
+_LATENCY = sql("event", """
     SELECT topic, count(*) AS n, T(quantile_disc(waited, 0.5)) AS p50,
            T(quantile_disc(waited, 0.95)) AS p95, T(max(waited)) AS slowest,
            T(avg(CASE WHEN waited <= 300 THEN 1e0 ELSE 0e0 END)) AS within_target
     FROM (SELECT topic, CAST(round(new_price * 1000000) AS BIGINT) / 1e6 AS waited FROM event) AS w
-    GROUP BY topic"""))
-def latency(spark, d):
+    GROUP BY topic""")
+
+
+def _arrived():
     """Events taken to arrive as many seconds late as their value says."""
     micros = F.round(F.col("new_price") * 1_000_000).cast("bigint")
-    arrived = F.timestamp_micros(F.unix_micros("event_time") + micros)
-    out = windows.latency(fx.events(spark, d), arrived)
+    return F.timestamp_micros(F.unix_micros("event_time") + micros)
+
+
+@query("latency", _LATENCY)
+def latency(spark, d):
+    out = windows.latency(fx.events(spark, d), _arrived())
     return rounded(out, "p50", "p95", "slowest", "within_target")
 
 
+@query("latency_stream", _LATENCY)
+def latency_stream(spark, d):
+    """The same report merged from the states that a stream keeps."""
+    path = scratch(spark)
+    changes.run_available(windows.latency_stream(_stream(spark, d), f"{path}/states", f"{path}/checkpoint", _arrived()))
+    return rounded(windows.read_latency(spark, f"{path}/states"), "p50", "p95", "slowest", "within_target")
+
+
 @query("two_consumers", sql("event", """
     SELECT consumer, topic, count(*) AS n FROM event,
         (SELECT unnest(['analytics', 'monitoring']) AS consumer) AS c

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,8 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+# The folder of the innermost ``scratch_scope``.
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
 
 
 def settle(spark: SparkSession) -> SparkSession:
@@ -35,7 +40,7 @@ def scratch(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a temporary
     folder; a cluster must name a shared one, since executors can be lost.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _scope.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         context = spark.sparkContext
         if not context.master.startswith("local"):
@@ -47,6 +52,28 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a folder from the file system it lies on."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made inside lie in one folder, which goes when the scope ends.
+
+    For work that writes its results before it ends, as a micro-batch does; a frame that
+    reads a scratch table must not leave the scope.
+    """
+    path = scratch(spark)
+    token = _scope.set(path)
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        dropped(spark, path)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 

@@ -1,78 +1,98 @@
-"""Stateful price changes, alerts and the live price table."""
+"""Price changes, alerts and the live price table of streams."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from shelfline.operators.quality import dedup
-from shelfline.schemas import ALERT
-from shelfline.session import scratch, settle, width
+from shelfline.functions.ordered import GROUP_ROWS, OrderedGroups
+from shelfline.schemas import ALERT, schema_of
+from shelfline.session import kept, scratch, scratch_scope, settle
+from shelfline.streaming.generations import BatchTable, stream_id
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+KEYS = ["product_id", "retailer_id"]
+LAST = schema_of("product_id bigint, retailer_id bigint, event_id bigint, event_time timestamp, new_price double")
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
     """A sister session for streaming queries, with RocksDB state.
 
-    The number of state partitions is fixed for the life of a checkpoint. On a local
-    master it is held to the number of threads.
+    The number of state partitions is fixed for the life of a checkpoint: ``spark.shelfline.stream.partitions``, or
+    the width of shuffles if that is not set. Sessions are merged where their events are read, before the
+    shuffle, so that a busy key sends one row a burst and task.
     """
     sister = settle(spark.newSession())
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    if spark.sparkContext.master.startswith("local"):
-        parts = str(min(int(parts), spark.sparkContext.defaultParallelism))
+    parts = spark.conf.get("spark.shelfline.stream.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
     sister.conf.set("spark.sql.shuffle.partitions", parts)
     sister.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    sister.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return sister
 
 
-def detect_changes(stream: DataFrame) -> DataFrame:
-    """Every price that follows another one of its product and retailer.
+def changes_of(events: DataFrame, last: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Every price that follows another one of its product and retailer, in a batch of events.
 
-    The state of a key is its last price, so memory does not grow with history.
-    Within a batch, events are taken by (event_time, event_id); limit the batch at the
-    source so that a busy key fits a task. An event that arrives in a later batch
-    than its successor is compared with the newer price.
+    Events are taken by (event_time, event_id); ``last`` (product_id, retailer_id, new_price) has the price
+    before the batch, which comes first whatever its time. Null prices are left out; a change
+    from zero has a null percentage. A key with more than ``group_rows`` events is cut into slices.
     """
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-    # Defined here so that it travels to the executors by value.
-    class LastPrice(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.last = handle.getValueState("last", "price double")
-
-        def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame],
-                            timerValues: Any) -> Iterator[pd.DataFrame]:
-            parts = [[r[c].to_numpy() for c in ("event_time", "event_id", "new_price")]
-                     for r in rows]
-            at, ids, price = (np.concatenate(p) for p in zip(*parts))
-            order = np.lexsort((ids, at))
-            at, ids, price = at[order], ids[order], price[order]
-            known = self.last.get()
-            old = np.concatenate(([known[0] if known else np.nan], price[:-1]))
-            self.last.update((float(price[-1]),))
-            first = 0 if known else 1
-            if len(price) > first:
-                old, price = old[first:], price[first:]
-                pct = np.divide(price - old, old, where=old != 0,
-                                out=np.full(len(old), np.nan))
-                yield pd.DataFrame({
-                    "product_id": key[0], "retailer_id": key[1], "event_id": ids[first:],
-                    "event_time": at[first:], "old_price": old, "new_price": price, "pct": pct})
-
-        def close(self) -> None:
-            pass
-
-    priced = stream.filter("new_price IS NOT NULL").select(
-        "product_id", "retailer_id", "event_id", "event_time", "new_price")
-    return priced.groupBy("product_id", "retailer_id").transformWithStateInPandas(
-        LastPrice(), ALERT, "append", "none")
+    least = F.lit(-(1 << 62))
+    rows = events.filter("new_price IS NOT NULL").select(
+        "product_id", "retailer_id", "event_id", "event_time", "new_price", F.lit(1).alias("_new"),
+        F.coalesce(F.unix_micros("event_time"), least).alias("_at"), F.coalesce("event_id", least).alias("_tie"))
+    known = last.select("product_id", "retailer_id", F.lit(None).cast("bigint").alias("event_id"),
+                        F.lit(None).cast("timestamp").alias("event_time"), "new_price", F.lit(0).alias("_new"),
+                        least.alias("_at"), least.alias("_tie"))
+    stacked = rows.unionByName(known)
+    groups = OrderedGroups(stacked, KEYS, ["_new", "_at", "_tie", "new_price"], group_rows)
+    found = groups.shift(stacked, {"old_price": "new_price"}).filter("_new = 1 AND old_price IS NOT NULL")
+    pct = (F.col("new_price") - F.col("old_price")) / F.nullif("old_price", F.lit(0.0))
+    return found.withColumn("pct", pct).select(*ALERT.names)
+
+
+def detect_changes(stream: DataFrame, path: str, checkpoint: str, threshold: float | None = None,
+                   send: Callable[[DataFrame, str], None] | None = None, fold_every: int = 64) -> DataStreamWriter:
+    """Writer of all price changes of a stream to ``path``, and of alerts through ``send``.
+
+    Each micro-batch is compared within itself and with the last price of its keys, which lie in a table beside the
+    checkpoint (``checkpoint``-state); a batch replaces what a first try of it wrote, in changes and state. The
+    state grows by the latest rows of a batch and is folded every ``fold_every`` batches; a batch reads it
+    once and shuffles only the rows of its own keys. An event that arrives in a later batch than its
+    successor is compared with the newer price. ``send`` gets a batch's changes of at least ``threshold``
+    with a name that is the same when the batch is run again.
+    """
+    def put(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        name = stream_id(spark, checkpoint)
+        state = BatchTable(spark, f"{checkpoint.rstrip('/')}-state/{name}", LAST, KEYS, ["event_time", "event_id"], True)
+        if number and number % fold_every == 0:
+            state.fold((name, number))
+        with scratch_scope(spark):
+            events = kept(batch.filter("new_price IS NOT NULL").select(*LAST.names))
+            last = state.latest((name, number), events.select(*KEYS).distinct())
+            found = changes_of(events, kept(last))
+            written = f"{path}/{name}/{number}"
+            found.write.mode("overwrite").parquet(written)
+            state.put(events, name, number)
+            if send:
+                read = spark.read.schema(ALERT).parquet(written)
+                send(read if threshold is None else alerts(read, threshold), f"{name}/{number}")
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The changes that ``detect_changes`` wrote."""
+    try:
+        return spark.read.schema(ALERT).parquet(f"{path}/*/*")
+    except AnalysisException as error:  # nothing written yet
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], ALERT)
+        raise
 
 
 def alerts(changes: DataFrame, threshold: float = 0.1) -> DataFrame:
@@ -88,43 +108,64 @@ def as_messages(alerts: DataFrame) -> DataFrame:
         .alias("value"))
 
 
-def write_alerts(alerts: DataFrame, checkpoint: str, path: str | None = None,
-                 servers: str | None = None) -> DataStreamWriter:
-    """Writer to the alerts topic (``servers``) or to files (``path``)."""
-    writer = as_messages(alerts).writeStream.option("checkpointLocation", checkpoint)
-    if servers:
-        return writer.format("kafka").option("kafka.bootstrap.servers", servers).option(
-            "topic", "alerts")
-    return writer.format("parquet").option("path", path)
+def send_alerts(path: str | None = None, servers: str | None = None) -> Callable[[DataFrame, str], None]:
+    """A ``send`` of ``detect_changes``: messages to the alerts topic (``servers``) or to files (``path``).
+
+    Files of a batch that is run again are replaced; a topic gets its messages again, as topics deliver at least once.
+    """
+    def send(found: DataFrame, name: str) -> None:
+        messages = as_messages(found)
+        if servers:
+            (messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+             .option("topic", "alerts").save())
+        else:
+            messages.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    return send
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that ``send_alerts`` wrote to files."""
+    return spark.read.schema("key string, value string").parquet(f"{path}/*/*")
+
 
+def _live(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, LAST, KEYS, ["event_time", "event_id"])
 
-def live_prices(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+
+def live_prices(stream: DataFrame, path: str, checkpoint: str, fold_every: int = 64) -> DataStreamWriter:
     """Keep the latest price per key for dashboards.
 
-    Each micro-batch is cut to its latest row per key and replaces the folder of
-    its own batch id, so a repeated batch changes nothing and a batch costs only its own
-    size. ``read_live`` merges; ``fold_live`` moves the state to a table now and then.
+    Each micro-batch is cut to its latest row per key and replaces the folder of its own number, so a
+    repeated batch changes nothing and a batch costs only its own size; every ``fold_every`` batches are
+    folded into a new generation of the table. Streams with checkpoints of their own may share a table.
     """
-    def put(batch: DataFrame, batch_id: int) -> None:
-        latest = dedup(batch.filter("new_price IS NOT NULL"), ["product_id", "retailer_id"], ["event_time", "event_id"])
-        (latest.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    def put(batch: DataFrame, number: int) -> None:
+        table, name = _live(batch.sparkSession, path), stream_id(batch.sparkSession, checkpoint)
+        if number and number % fold_every == 0:
+            table.fold((name, number))
+        table.put(batch.filter("new_price IS NOT NULL"), name, number)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
 
 
 def read_live(spark: SparkSession, path: str) -> DataFrame:
     """Current price of each product and retailer."""
-    return dedup(spark.read.parquet(path).drop("batch_id"), ["product_id", "retailer_id"],
-                 ["event_time", "event_id"])
+    return _live(spark, path).latest()
+
 
+def fold_live(spark: SparkSession, path: str, table_path: str | None = None) -> int:
+    """Fold the batches of the live table; returns the generation that is current now.
 
-def fold_live(spark: SparkSession, path: str, table_path: str) -> None:
-    """Upsert the live prices into a table partitioned by retailer."""
+    With ``table_path`` the live prices are also put into a table partitioned by retailer.
+    """
     from shelfline.sinks.layers import upsert
 
-    upsert(table_path, read_live(spark, path), ["retailer_id", "product_id"],
-           ["event_time", "event_id"], ["retailer_id"])
+    number = _live(spark, path).fold()
+    if table_path:
+        upsert(table_path, read_live(spark, path), ["retailer_id", "product_id"],
+               ["event_time", "event_id"], ["retailer_id"])
+    return number
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:

@@ -67,6 +67,27 @@ def test_profile(spark):
         assert found["out_of_range_rate", "p"] == 0.25
 
 
+def test_profile_sketches_merge_and_keep_their_error(spark):
+    df = spark.range(200_000).select((F.col("id") % 100_000).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") / 7).alias("b"),
+                                     F.lit("x").alias("c"), F.timestamp_seconds("id").alias("d"))
+    parts = [quality.profile_state(df.filter(f"a % 5 = {i}"), {"b": (0, 10)}) for i in range(5)]
+    states = parts[0]
+    for part in parts[1:]:
+        states = states.unionByName(part)
+    merged = {(r["metric"], r["column"]): r["value"] for r in quality.profile_of(states).collect()}
+    exact = {(r["metric"], r["column"]): r["value"] for r in quality.profile(df, ["a"], {"b": (0, 10)}, True).collect()}
+    assert merged.keys() | {("duplicate_rate", "*")} == exact.keys()
+    for key, value in merged.items():
+        assert value == pytest.approx(exact[key], rel=0.03 if key[0] == "distinct_rate" else 1e-12)
+    assert exact["distinct_rate", "a"] == 0.5 and exact["null_rate", "b"] == 0.25 and exact["duplicate_rate", "*"] == 0.5
+
+
+def test_exact_profile_combines_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("a"), F.col("id").alias("b"))
+    plan = quality.profile(df, ["a"], exact=True)._jdf.queryExecution().toString()
+    assert "Expand" not in plan and "partial_count" in plan
+
+
 def test_profile_of_nothing(spark):
     out = quality.profile(spark.createDataFrame([], "id int"), ["id"])
     assert {r["metric"]: r["value"] for r in out.collect()}["rows"] == 0
@@ -99,16 +120,35 @@ def test_split_corrupt(spark):
 def test_audit(spark):
     path = scratch(spark)
     df = spark.createDataFrame([(1,), (-2,), (3,)], "v int")
-    work = lambda x: quality.validate(x, {"positive": F.col("v") > 0})
+    work = lambda x: quality.checked(x, {"positive": F.col("v") > 0})
     put = lambda name: lambda x: x.write.mode("overwrite").parquet(f"{path}/{name}")
     counts = audit.audited(spark, f"{path}/audit", "r1", "check", df, work, put("good"), put("bad"))
     assert counts == {"rows_in": 3, "rows_out": 2, "rows_rejected": 1}
+    assert rows(spark.read.parquet(f"{path}/good")) == [(1,), (3,)]
+    assert [tuple(r) for r in spark.read.parquet(f"{path}/bad").collect()] == [(-2, ["positive"])]
     with pytest.raises(ZeroDivisionError):
         audit.audited(spark, f"{path}/audit", "r1", "broken", df, lambda x: 1 / 0, None, None)
     assert rows(audit.audit_log(spark, f"{path}/audit"), "step", "status") == [
         ("broken", "failed"), ("check", "done")]
 
 
+def test_audit_reads_its_source_once(spark):
+    path = scratch(spark)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50).mapInArrow(count, "id long")
+    put = lambda name: lambda x: x.write.mode("overwrite").parquet(f"{path}/{name}")
+    counts = audit.audited(spark, f"{path}/audit", "r1", "once", df,
+                           lambda x: quality.checked(x, {"small": F.col("id") < 30}), put("good"), put("bad"))
+    assert counts == {"rows_in": 50, "rows_out": 30, "rows_rejected": 20} and reads.value == 50
+    assert spark.read.parquet(f"{path}/good").count() == 30 and spark.read.parquet(f"{path}/bad").count() == 20
+
+
 def test_bronze_rerun_replaces_its_run(spark):
     root = scratch(spark)
     df = spark.createDataFrame([(1, 2.0)], "product_id int, price double")
