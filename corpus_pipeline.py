@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfline.llm import bpe, minhash, mixing, quality, secrets, simhash
+from shelfline.llm import bpe, mixing, quality, secrets, simhash
 from shelfline.session import kept, settle
 
 # Columns of documents, which all stages but the last return.
@@ -15,7 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base rules and are near enough to their language's reference.
 
     A verdict depends on text and language alone, so the document's id finds it; ids that stand for
-    several rows keep those whose own text and language passed.
+    several rows keep those whose own text and language passed. Null ids and languages are values like any other, null and
+    empty texts fail, an empty table stays empty, and columns that documents do not have are left out.
     """
     key = F.xxhash64("doc_id", "text", "lang").alias("_key")
     verdicts = quality.measured(docs.select(F.struct("doc_id", key).alias("at"), "text", "lang"), id="at")
@@ -38,42 +39,49 @@ def _one_of_each(keyed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component by op2's contract: exactly one row, of the least id.
+    """One document of each SimHash component: exactly one row, of the least id.
 
-    Two bits find little but exact copies, so the pipeline's stage is ``single_copies``.
+    Components are those of the SimHash operator with the shingles and bits of its contract. Null ids come last, repeated
+    ids and rows are rows of their own here, null and empty texts are one component, an empty table stays empty.
     """
     keyed = _with_rows(docs)
     found = simhash.near_duplicates(keyed.select("row", "text"), id="row")
     return _one_of_each(keyed, found.select("row", F.col("component_id").alias("node")))
 
 
-def single_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, by Jaccard similarity: exactly one row, of the least id."""
-    keyed = _with_rows(docs)
-    return _one_of_each(keyed, minhash.near_copies(keyed))
-
-
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by a mark and n_chars counted anew."""
+    """All documents, secrets replaced by a mark and n_chars counted anew.
+
+    Null ids, repeated rows and an empty table stay as they are; a null text stays null, and so does its n_chars; other
+    columns are left out.
+    """
     found = secrets.find_secrets(docs.select(*COLUMNS))
     return (found.withColumn("text", secrets.redacted("text", "spans"))
             .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null and empty texts have no words and are taken like any other at no cost; a null source is a source, rows that
+    repeat draw alike, an empty table stays empty, other columns are left out.
+    """
     taken = mixing.mix(docs, keep=COLUMNS[1:])
     copies = F.explode(F.sequence(F.lit(1), F.col("epochs")))
     return taken.filter("epochs > 0").withColumn("copy", copies).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document of the mix."""
+    """Token ids of each document of the mix.
+
+    A null text has no tokens, null ids and sources stay null, a row that repeats has its tokens each time, and an empty
+    table has no rows.
+    """
     out = bpe.bpe_encode(docs.select("doc_id", "source", "text"))
     return out.select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 
-STAGES = [("quality rules", quality_rules), ("near copies", single_copies), ("secrets", without_secrets),
+STAGES = [("quality rules", quality_rules), ("near copies", near_copies), ("secrets", without_secrets),
           ("mix", mixed), ("tokens", tokens)]
 # SQL cannot express byte-pair encoding or SimHash; tests compare the rows with a brute-force version.
 ORACLE_SQL = None
