@@ -49,9 +49,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated byte strings removed."""
+    """Repeated byte strings removed; ``kept_text`` is what is left, cut characters replaced."""
     out = suffixes.remove_repeats(documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"),
+                      F.make_valid_utf8(F.col("kept_bytes").cast("string")).alias("kept_text"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ ENDPOINT = (r"""(?i:\b(?:https?|ftps?|s3|postgres(?:ql)?|mysql|mongodb|redis|amq
 SCOPE = 200     # characters around a part in which its complement must lie
 _CELL = 512
 _RUN = 128
+MANY_RUNS = 64  # from so many redacted runs on a text is cut from a list of its characters
 
 
 def _named(value: Column, use) -> Column:
@@ -162,16 +163,18 @@ def counted(spans: str, kind: str) -> Column:
 def redacted(text: str, spans: str, mark: str = "<SECRET>") -> Column:
     """The text with each run of overlapping spans replaced by a mark.
 
-    Spans come sorted; a run ends where the next span starts after all earlier ones ended. Texts are cut
-    once per run, which is meant for the few spans of a document.
+    Of spans sorted by start, the i-th opens a run if the i smallest ends are not after its start: these are then the ends
+    of all earlier spans. A text with many runs is cut from its characters, listed once.
     """
-    so_far = lambda a, i: F.array_max(F.transform(F.slice(a, F.lit(1), i), lambda s: s["end"]))
-
-    def of(a: Column) -> Column:
-        first = F.filter(F.transform(a, lambda s, i: F.struct(
-            F.coalesce(so_far(a, i), F.lit(0)).alias("from"), s["start"].alias("to"))), lambda r: r["from"] <= r["to"])
-        kept = F.concat(F.transform(first, lambda r: F.substring(F.col(text), r["from"] + 1, r["to"] - r["from"])),
-                        F.array(F.substring(F.col(text), so_far(a, F.size(a)) + 1, F.length(F.col(text)))))
-        return F.array_join(kept, mark)
-
-    return F.when(F.size(spans) == 0, F.col(text)).otherwise(_named(F.col(spans), of))
+    def of(a: Column, ends: Column) -> Column:
+        gaps = F.filter(F.transform(a, lambda s, i: F.struct(
+            F.coalesce(F.get(ends, i - 1), F.lit(0)).alias("from"), s["start"].alias("to"))), lambda r: r["from"] <= r["to"])
+        tail = F.array(F.struct(F.element_at(ends, -1).alias("from"), F.length(F.col(text)).alias("to")))
+        return _named(F.concat(gaps, tail), lambda g: F.when(F.size(g) < MANY_RUNS, F.array_join(
+            F.transform(g, lambda r: F.substring(F.col(text), r["from"] + 1, r["to"] - r["from"])), mark)).otherwise(
+            _named(F.split(F.col(text), ""), lambda c: F.array_join(F.transform(
+                g, lambda r: F.array_join(F.slice(c, r["from"] + 1, r["to"] - r["from"]), "")), mark))))
+
+    ends = F.array_sort(F.transform(spans, lambda s: s["end"]))
+    cut = _named(F.struct(F.col(spans).alias("a"), ends.alias("ends")), lambda x: of(x["a"], x["ends"]))
+    return F.when(F.size(spans) == 0, F.col(text)).otherwise(cut)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.llm.common import by_batches, widened
 from shelfline.llm.components import components
-from shelfline.session import kept
+from shelfline.session import kept, width
 
 SHINGLE = 3     # words
 SEED = 42
@@ -72,11 +72,26 @@ def _signed(bits: int) -> int:
 
 
 def _variants() -> Column:
-    """The 64 one-blank variants: (place of the blank, the segment without that bit)."""
-    masks = [_signed((0xFFFFFFFF << 32 * (i // 32)) & ~(1 << i)) for i in range(64)]
+    """The 64 one-blank variants, a long each: the segment without one bit, and above it the bit's place."""
+    halves = [F.col("fingerprint").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fingerprint", 32)]
     return F.explode(F.array(*[
-        F.struct(F.lit(i).alias("place"), F.col("fingerprint").bitwiseAND(F.lit(mask)).alias("rest"))
-        for i, mask in enumerate(masks)]))
+        halves[i // 32].bitwiseAND(F.lit(0xFFFFFFFF ^ 1 << i % 32)).bitwiseOR(F.lit(i << 32)) for i in range(64)]))
+
+
+def shared_variants(folded: DataFrame) -> DataFrame:
+    """``fingerprint``, ``variant`` and ``n``, the fingerprints that share it, of variants that two or more share.
+
+    Variants are made and shuffled once: they are counted where the shuffle has brought them together, and the
+    counts meet the same rows again in place. So the plan is one at any size.
+    """
+    parts = width(folded.sparkSession)
+    variants = folded.select("fingerprint", _variants().alias("variant")).repartition(parts, "variant")
+    # That two fingerprints differ is read from them, not from the count: else their column were left out of the
+    # shuffle that is counted, and it were another one.
+    shared = (variants.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.min("fingerprint").alias("least"),
+                                              F.max("fingerprint").alias("most"))
+              .filter("least <> most").select("variant", "n"))
+    return variants.join(shared.hint("shuffle_hash"), "variant")
 
 
 def links(folded: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -85,15 +100,13 @@ def links(folded: DataFrame, crowd: int = CROWD) -> DataFrame:
     Every such pair is joined by a link or by a chain of links; crowded variants give stars
     instead of pairs.
     """
-    variants = folded.select("fingerprint", _variants().alias("v")).select("fingerprint", "v.*")
-    shared = kept(variants.groupBy("place", "rest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    members = kept(variants.join(shared, ["place", "rest"]))
+    members = kept(shared_variants(folded))
     near = lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= BITS
     group = F.col("group")
     later = lambda a, i: F.transform(
         F.filter(F.slice(group, i + 2, crowd), lambda b: near(a, b)),
         lambda b: F.struct(a.alias("a"), b.alias("b")))
-    pairs = (members.filter(F.col("n") < crowd).groupBy("place", "rest")
+    pairs = (members.filter(F.col("n") < crowd).groupBy("variant")
              .agg(F.collect_list("fingerprint").alias("group"))
              .select(F.explode(F.flatten(F.transform(group, later))).alias("l")).select("l.*"))
 

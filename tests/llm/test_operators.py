@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm import (bpe, licenses, mixing, quality, secrets, sharding, simhash, suffixes, wavelet, winnow)
 from shelfline.llm.components import components
+from shelfline.session import kept
 
 
 def found(df, *columns):
@@ -81,6 +82,18 @@ def test_simhash_links_find_all_pairs(spark):
         assert {k: k if v is None else v for k, v in got.items()} == want
 
 
+def test_simhash_variants_are_shuffled_once(spark):
+    folded = kept(spark.range(5000).select(F.xxhash64("id").alias("fingerprint")))
+    for limit in (-1, 1 << 40):  # whatever could be broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        out = simhash.shared_variants(folded)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("+- Exchange") + plan.count(":- Exchange") == 1 and plan.count("ReusedExchange") == 1
+        assert "Broadcast" not in plan and "SortMergeJoin" not in plan
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_simhash_odd_and_empty(odd, empty):
     out = simhash.near_duplicates(odd)
     assert out.count() == odd.count()
@@ -430,6 +443,32 @@ def test_many_spans_in_one_text(spark):
     assert [tuple(s) for s in spans] == brute.op9_spans(text)
 
 
+def test_redaction_of_many_overlapping_spans(spark):
+    rng = random.Random(3)
+    rows = []
+    for doc, n in enumerate((1, 5, 63, 64, 65, 400)):
+        text = "".join(rng.choice("aé😀 日") for _ in range(3000))
+        starts = sorted(rng.randrange(2900) for _ in range(n))
+        rows.append((doc, text, [(a, 0, a + rng.randint(1, 60 if i % 9 else 4)) for i, a in enumerate(starts)]))
+    kind = "doc_id long, text string, spans array<struct<start:int,kind:int,end:int>>"
+    df = spark.createDataFrame(rows, kind)
+    for r in df.select("doc_id", secrets.redacted("text", "spans").alias("t")).collect():
+        _, text, spans = rows[r["doc_id"]]
+        want, at = "", 0
+        for i, (start, _, _) in enumerate(spans):
+            ended = max((e for _, _, e in spans[:i]), default=0)
+            if ended <= start:
+                want, at = want + text[ended:start] + "<SECRET>", start
+        assert r["t"] == want + text[max(e for _, _, e in spans):], r["doc_id"]
+
+
+def test_redaction_of_a_file_full_of_keys(spark):
+    text = "".join(f"k{i} token=12345678{i} ;" for i in range(45_000))
+    df = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    found = df.select(secrets.redacted("text", "spans")).first()[0]
+    assert len(text) > 1_000_000 and found.count("<SECRET>") == 45_000 and "12345678" not in found
+
+
 def test_redaction(docs, rows, spark):
     out = secrets.find_secrets(docs).select("doc_id", secrets.redacted("text", "spans").alias("t"), "spans", "text").collect()
     for r in out:
