@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.text import canonical_name
 from shelfline.operators import normalize, price, quality
 from shelfline.operators.audit import audit_log, audited
-from shelfline.plans import fixtures as fx
+from shelfline.plans import fixtures as fx, incremental
 from shelfline.plans.registry import day, query, rounded, second, sql
 from shelfline.schemas import OBSERVED_ORDER, schema_of
 from shelfline.session import scratch
@@ -143,6 +143,38 @@ def gold_layer(spark, d):
     return rounded(gold, "own_price", "competitor_min", "competitor_avg", "competitor_max", "gap")
 
 
+def _in_steps(spark, d):
+    """Prices landed in three runs, one of them twice, and taken in run by run."""
+    root, obs = scratch(spark), fx.observations(spark, d)
+    prices = incremental.PriceTables(spark, root)
+    for run_id, years in (("run-1", (1995, 1997)), ("run-2", (1996, 1999)), ("run-2", (1996, 1999)),
+                          ("run-3", (1998, 2001))):
+        rows = obs.filter(F.year("observed_at").between(*years))
+        layers.write_bronze(rows, root, "competitors", run_id, "feed")
+        prices.step()
+    prices.fold()
+    return prices
+
+
+@query("incremental_monthly", sql("obs", """
+    SELECT product_id, retailer_id, strftime(date_trunc('month', observed_at), '%Y-%m-%d') AS month, count(*) AS n,
+           T(avg(price)) AS avg_price, T(min(price)) AS min_price, T(max(price)) AS max_price
+    FROM obs GROUP BY product_id, retailer_id, date_trunc('month', observed_at)"""))
+def incremental_monthly(spark, d):
+    """Monthly prices from the states of all steps; runs overlap, so rows are delivered twice."""
+    found = rounded(_in_steps(spark, d).monthly_prices(), "avg_price", "min_price", "max_price")
+    return found.withColumn("month", day("month"))
+
+
+@query("incremental_history", sql("history", """
+    SELECT product_id, retailer_id, T(price) AS price, strftime(valid_from, '%Y-%m-%d') AS valid_from,
+           strftime(valid_to, '%Y-%m-%d') AS valid_to FROM history"""))
+def incremental_history(spark, d):
+    """Price history with only the touched keys computed again in each step."""
+    found = rounded(_in_steps(spark, d).price_history(), "price")
+    return found.withColumns({c: day(c) for c in ("valid_from", "valid_to")})
+
+
 @query("upsert", sql("cur", """
     SELECT product_id, retailer_id, strftime(observed_at, '%Y-%m-%d') AS observed_on,
            T(price) AS price, order_id, line_no FROM cur"""))

@@ -13,8 +13,8 @@ from shelfline.plans.registry import query, rounded, second, sql
 from shelfline.plans.source_queries import broken_payloads
 from shelfline.schemas import ALERT, schema_of
 from shelfline.session import scratch
-from shelfline.sources import topics
-from shelfline.streaming import changes, windows
+from shelfline.sources import tables, topics
+from shelfline.streaming import changes, landing, windows
 
 
 def _stream(spark, d):
@@ -55,6 +55,32 @@ def agg_tumbling(spark, d):
     return _spans(windows.agg_tumbling(fx.events(spark, d)))
 
 
+@query("landed_windows", sql("event", f"""
+    SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS start_at,
+           strftime(hour + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS end_at,
+           topic, retailer_id, {_STATS}
+    FROM (SELECT *, date_trunc('hour', event_time) AS hour FROM event) AS e
+    GROUP BY hour, topic, retailer_id"""))
+def landed_windows(spark, d):
+    """Windows kept beside the events that a stream lands in bronze; those still open are there too."""
+    path = scratch(spark)
+    changes.run_available(landing.land(
+        _stream(spark, d), f"{path}/lake", "market_trends", f"{path}/windows", f"{path}/checkpoint"))
+    return _spans(landing.read_windows(spark, f"{path}/windows"))
+
+
+@query("landed_events", sql("event", """
+    SELECT event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, topic, product_id,
+           retailer_id, new_price, payload, 'stream' AS _source FROM event"""))
+def landed_events(spark, d):
+    """All events of a stream as they lie in bronze."""
+    path = scratch(spark)
+    changes.run_available(landing.land(
+        _stream(spark, d), f"{path}/lake", "market_trends", f"{path}/windows", f"{path}/checkpoint"))
+    landed = tables.read_layer(spark, f"{path}/lake", "bronze", "market_trends")
+    return landed.drop("_ingest_ts", "_run_id").withColumn("event_time", second("event_time"))
+
+
 @query("tumbling_stream", sql("event", f"""
     SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS start_at,
            strftime(hour + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS end_at,

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from shelfline.functions.ordered import GROUP_ROWS, OrderedGroups
 from shelfline.schemas import ALERT, schema_of
 from shelfline.session import kept, scratch, scratch_scope, settle
-from shelfline.streaming.generations import BatchTable, stream_id
+from shelfline.streaming.generations import BatchTable, newest, stream_id
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 KEYS = ["product_id", "retailer_id"]
@@ -68,12 +68,13 @@ def detect_changes(stream: DataFrame, path: str, checkpoint: str, threshold: flo
     def put(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         name = stream_id(spark, checkpoint)
-        state = BatchTable(spark, f"{checkpoint.rstrip('/')}-state/{name}", LAST, KEYS, ["event_time", "event_id"], True)
+        state = BatchTable(spark, f"{checkpoint.rstrip('/')}-state/{name}", LAST, KEYS,
+                           newest(KEYS, ["event_time", "event_id"], by_batch=True))
         if number and number % fold_every == 0:
             state.fold((name, number))
         with scratch_scope(spark):
             events = kept(batch.filter("new_price IS NOT NULL").select(*LAST.names))
-            last = state.latest((name, number), events.select(*KEYS).distinct())
+            last = state.read((name, number), events.select(*KEYS).distinct())
             found = changes_of(events, kept(last))
             written = f"{path}/{name}/{number}"
             found.write.mode("overwrite").parquet(written)
@@ -130,7 +131,7 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _live(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(spark, path, LAST, KEYS, ["event_time", "event_id"])
+    return BatchTable(spark, path, LAST, KEYS, newest(KEYS, ["event_time", "event_id"]))
 
 
 def live_prices(stream: DataFrame, path: str, checkpoint: str, fold_every: int = 64) -> DataStreamWriter:
@@ -151,7 +152,7 @@ def live_prices(stream: DataFrame, path: str, checkpoint: str, fold_every: int =
 
 def read_live(spark: SparkSession, path: str) -> DataFrame:
     """Current price of each product and retailer."""
-    return _live(spark, path).latest()
+    return _live(spark, path).read()
 
 
 def fold_live(spark: SparkSession, path: str, table_path: str | None = None) -> int:

@@ -5,7 +5,7 @@ Below its path a table has
 * ``batches/<stream>/<batch>``: the rows of one micro-batch. A batch that is run again replaces its own folder, and
   each stream has folders of its own, named by its id, which the checkpoint keeps: a new checkpoint
   starts its batch numbers anew and still meets no old folder.
-* ``tables/<name>``: the latest row of each key over all batches folded so far, one table a generation.
+* ``tables/<name>``: all batches folded so far, merged by key, one table a generation.
 * ``manifests/<number>``: one row that says which table is current and up to which batch of each stream it holds. The
   manifest with the greatest number counts, so readers go over to a new generation in one step.
 
@@ -15,9 +15,9 @@ A batch counts once its folder has Spark's mark of success; a half-written one i
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfline.operators.quality import dedup
@@ -27,25 +27,42 @@ DONE = "_SUCCESS"
 _MANIFEST = "number bigint, table string, folded map<string,bigint>"
 
 
+Merge = Callable[[DataFrame], DataFrame]
+
+
+def newest(keys: Sequence[str], order: Sequence[str], by_batch: bool = False) -> Merge:
+    """Of each key the latest row by ``order``; with ``by_batch`` later batches come after earlier ones whatever they hold."""
+    return lambda rows: dedup(rows, keys, [*(["_batch"] if by_batch else []), *order])
+
+
+def replaced(keys: Sequence[str]) -> Merge:
+    """Of each key all rows of the last batch that has any."""
+    last = F.max("_batch").over(Window.partitionBy(*keys))
+    return lambda rows: rows.withColumn("_last", last).filter("_batch = _last").drop("_last")
+
+
+def added_up(keys: Sequence[str], measures: dict[str, Callable[[str], Column]]) -> Merge:
+    """Of each key one row with every measure merged by its function, a sum, minimum or maximum."""
+    return lambda rows: rows.groupBy(*keys).agg(
+        *[merge(name).alias(name) for name, merge in measures.items()], F.max("_batch").alias("_batch"))
+
+
 class BatchTable:
-    """The latest row of each of ``keys`` by ``order``, later batches first with ``newest_batch``.
+    """Rows of ``schema`` that batches bring, merged by ``keys``; keys may be null.
 
-    ``schema`` is that of the rows put; keys may be null. Without ``newest_batch`` the order of rows alone decides, whatever batch
-    brought them.
+    ``merge`` takes stacked rows with the number of their batch in ``_batch`` to fewer rows of the same columns. It
+    must not matter in how many steps rows are merged.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                 order: Sequence[str], newest_batch: bool = False):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.rows = schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], merge: Merge):
+        self.spark, self.path, self.keys, self.rows = spark, path.rstrip("/"), list(keys), schema
         self.schema = StructType([*schema.fields, StructField("_batch", LongType())])
-        self.order = [*(["_batch"] if newest_batch else []), *order]
+        self.merge = lambda rows: merge(rows).select(*self.schema.names)
 
     def put(self, rows: DataFrame, stream: str, batch: int) -> None:
-        """Store the latest rows of a batch in place of what the same batch stored before."""
-        order = [c for c in self.order if c != "_batch"]
-        latest = dedup(rows.select(*self.rows.names), self.keys, order).withColumn("_batch", F.lit(batch).cast("bigint"))
-        latest.write.mode("overwrite").parquet(f"{self.path}/batches/{stream}/{batch}")
+        """Store the merged rows of a batch in place of what the same batch stored before."""
+        numbered = rows.select(*self.rows.names).withColumn("_batch", F.lit(batch).cast("bigint"))
+        self.merge(numbered).write.mode("overwrite").parquet(f"{self.path}/batches/{stream}/{batch}")
 
     def _listed(self, pattern: str) -> list[str]:
         """Paths below the table that fit a pattern, on whatever file system it lies."""
@@ -77,8 +94,8 @@ class BatchTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def latest(self, before: tuple[str, int] | None = None, among: DataFrame | None = None) -> DataFrame:
-        """The latest row of each key; ``before`` leaves out that batch of a stream and its later ones.
+    def read(self, before: tuple[str, int] | None = None, among: DataFrame | None = None) -> DataFrame:
+        """The merged rows; ``before`` leaves out that batch of a stream and its later ones.
 
         ``among`` has the keys that are asked for: a few of them are sent to where the table is read, so that
         only their rows are shuffled.
@@ -88,7 +105,7 @@ class BatchTable:
         if among is not None:
             rows = rows.alias("t").join(among.alias("k"), [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in self.keys],
                                         "left_semi")
-        return dedup(rows, self.keys, self.order).select(*self.rows.names)
+        return self.merge(rows).select(*self.rows.names)
 
     def fold(self, before: tuple[str, int] | None = None, drop: bool = True) -> int:
         """Fold all whole batches into a new generation; returns its number, or the current one if there is none.
@@ -101,7 +118,7 @@ class BatchTable:
         batches = self.batches(folded, before)
         if batches:
             name = uuid.uuid4().hex
-            dedup(self._read(table, batches), self.keys, self.order).write.parquet(f"{self.path}/tables/{name}")
+            self.merge(self._read(table, batches)).write.parquet(f"{self.path}/tables/{name}")
             for stream, batch in batches:
                 folded[stream] = max(batch, folded.get(stream, -1))
             number += 1
