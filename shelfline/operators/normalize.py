@@ -57,11 +57,15 @@ def match_products(a: DataFrame, b: DataFrame, block: str, max_dist: int = 1) ->
     """Best match in ``b`` for each row of ``a``: product_id, match_id, distance.
 
     Both sides need product_id, name and the block column. Within a block an equal
-    canonical name wins; otherwise the smallest edit distance up to ``max_dist``,
+    canonical name wins; otherwise the smallest distance up to ``max_dist``,
     then the smallest product_id. Rows of ``a`` without a match have null match_id.
 
+    The distance of two names is the edit distance of their sorted tokens or, if all their tokens but one
+    are the same, that of the odd ones, whichever is less: a typo at the start of a token puts it elsewhere in the order.
+
     Names are made distinct per block first, so many products of one name cost
-    no more than one. Close names are then found by equality on their shortened forms,
+    no more than one. Close names are then found by equality on their shortened forms, and on all tokens but
+    one with the shortened forms of that one,
     which only pairs names within twice the distance, and never compares a block in full.
     """
     named = lambda df: df.withColumn("_name", canonical_name(F.col("name")))
@@ -74,12 +78,21 @@ def match_products(a: DataFrame, b: DataFrame, block: str, max_dist: int = 1) ->
     rest = names_a.join(names_b, [block, "_name"], "left_anti")
 
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key", F.explode(F.transform(
-            near_keys(F.col("_name"), max_dist), lambda s: F.xxhash64(s))))
+        """A row per key: what two names must have in common (``_rest``) and what may differ (``_odd``)."""
+        tokens = F.split("_name", " ")
+        whole = F.array(F.struct(F.lit(None).cast("string").alias("_rest"), F.col("_name").alias("_odd")))
+        each = F.transform(tokens, lambda token, i: F.struct(
+            F.array_join(F.filter(tokens, lambda _, j: j != i), " ").alias("_rest"), token.alias("_odd")))
+        # A name of one token has no other token to go by.
+        ways = F.explode(F.when(F.size(tokens) > 1, F.array_distinct(F.concat(whole, each))).otherwise(whole))
+        split = df.withColumn("_way", ways).select(*df.columns, "_way.*")
+        return split.withColumn("_key", F.explode(F.transform(
+            near_keys(F.col("_odd"), max_dist), lambda s: F.xxhash64(F.col("_rest"), s))))
 
     pairs = (keyed(rest).alias("x").join(keyed(names_b).alias("y"), [block, "_key"])
+             .filter(F.col("x._rest").eqNullSafe(F.col("y._rest")))
              .select(block, F.col("x._name").alias("_name"), "match_id",
-                     F.levenshtein("x._name", "y._name").alias("distance"))
+                     F.levenshtein("x._odd", "y._odd").alias("distance"))
              .filter(F.col("distance") <= max_dist))
     near = (pairs.groupBy(block, "_name")
             .agg(F.min(F.struct("distance", "match_id")).alias("_best"))

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfline.functions.merging import averaged, counted, summed_below
 from shelfline.functions.numbers import ratio
 from shelfline.functions.ordered import GROUP_ROWS, OrderedGroups
 from shelfline.operators.quality import dedup
@@ -82,16 +83,24 @@ def category_prices(obs: DataFrame, product: DataFrame) -> DataFrame:
 
 
 def price_trend(df: DataFrame, by: Sequence[str], grain: str = "month", k: int = 3,
-                frame: str = "rows") -> DataFrame:
+                frame: str = "rows", dimension: DataFrame | None = None) -> DataFrame:
     """Mean price per period with change and moving average.
 
+    ``dimension`` holds the columns ``by`` per product_id, if ``df`` has them not; prices are then summed per product
+    before they meet it.
+
     ``frame`` "rows" averages the last ``k`` periods that hold data, "range" the
     last ``k`` calendar periods. Windows run over one row per period.
     """
     if grain not in ("day", "week", "month", "quarter", "year"):
         raise ValueError(f"unknown grain {grain!r}")
-    periods = (df.groupBy(*by, F.date_trunc(grain, F.col("observed_at")).alias("period"))
-               .agg(F.count("price").alias("n"), F.avg("price").alias("avg_price")))
+    period = F.date_trunc(grain, F.col("observed_at"))
+    if dimension is None:
+        periods = (df.groupBy(*by, period.alias("period"))
+                   .agg(F.count("price").alias("n"), F.avg("price").alias("avg_price")))
+    else:
+        periods = summed_below(df, ["product_id"], dimension, by, {
+            "n": counted("price"), "avg_price": averaged("price")}, {"period": period})
     along = Window.partitionBy(*by).orderBy("period")
     before = F.lag("avg_price").over(along)
     if frame == "rows":
@@ -189,14 +198,19 @@ def elasticity(sales: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame
                  F.regr_count(y, x).alias("n")))
 
 
-def vs_market(obs: DataFrame, market: DataFrame, own: int = 0) -> DataFrame:
+def vs_market(obs: DataFrame, market: DataFrame, own: int = 0, dimension: DataFrame | None = None) -> DataFrame:
     """Own mean price against the market trend by category and month.
 
-    ``obs`` carries a category column.
+    ``obs`` carries a category column, or ``dimension`` has one per product_id: prices are then summed per product
+    before they meet it.
     """
-    mine = (obs.filter(F.col("retailer_id") == own)
-            .groupBy("category", F.date_trunc("month", F.col("observed_at")).alias("month"))
-            .agg(F.avg("price").alias("own_price"), F.count("price").alias("n")))
+    mine, month = obs.filter(F.col("retailer_id") == own), F.date_trunc("month", F.col("observed_at"))
+    if dimension is None:
+        mine = (mine.groupBy("category", month.alias("month"))
+                .agg(F.avg("price").alias("own_price"), F.count("price").alias("n")))
+    else:
+        mine = summed_below(mine, ["product_id"], dimension, ["category"], {
+            "own_price": averaged("price"), "n": counted("price")}, {"month": month})
     return (mine.join(market, ["category", "month"], "left")
             .withColumn("market_gap", ratio(F.col("own_price") - F.col("market_price"),
                                             F.col("market_price"))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,15 +11,18 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numbers import money_sum, ratio, share_of
+from shelfline.operators.product import price_band
 from shelfline.session import kept
 
 
 def price_kpis(recommendations: DataFrame, categories: DataFrame, category: str | None = None,
-               min_gap: float | None = None, limit: int | None = None) -> DataFrame:
+               min_gap: float | None = None, limit: int | None = None, retailer: int | None = None,
+               current: DataFrame | None = None) -> DataFrame:
     """Price gaps with category means and recommendations, largest gap first.
 
     ``recommendations`` comes from ``optimize.recommend``, ``categories`` from
-    ``price.category_prices``.
+    ``price.category_prices``. With ``retailer`` only products that it has are listed, with its price in ``current``
+    (``price.current_price``) and the own price's gap to it.
     """
     if category is not None:
         recommendations = recommendations.filter(F.col("category") == category)
@@ -25,9 +30,15 @@ def price_kpis(recommendations: DataFrame, categories: DataFrame, category: str
         recommendations = recommendations.filter(F.abs("gap") >= min_gap)
     means = kept(categories.filter("level = 1").select(
         "category", F.col("avg_price").alias("category_avg")))
+    more = []
+    if retailer is not None:
+        theirs = current.filter(F.col("retailer_id") == retailer).select("product_id", F.col("price").alias("retailer_price"))
+        recommendations = recommendations.join(theirs, "product_id")
+        gap = ratio(F.col("own_price") - F.col("retailer_price"), F.col("retailer_price"))
+        more = ["retailer_price", gap.alias("retailer_gap")]
     out = (recommendations.join(means, "category", "left")
            .select("product_id", "category", "own_price", "competitor_avg", "gap", "category_avg",
-                   "action", "suggested_price")
+                   "action", "suggested_price", *more)
            .orderBy(F.col("gap").desc(), "product_id"))
     return out.limit(limit) if limit is not None else out
 
@@ -43,10 +54,20 @@ def promotion_kpis(performance: DataFrame, uplift: DataFrame, roi: DataFrame,
 
 
 def product_kpis(performance: DataFrame, scored: DataFrame, best: DataFrame,
-                 category: str | None = None) -> DataFrame:
-    """Each product's contribution, scores and place among the best sellers."""
+                 category: str | None = None, edges: Sequence[float] | None = None,
+                 shares: DataFrame | None = None) -> DataFrame:
+    """Each product's contribution, scores and place among the best sellers.
+
+    With ``edges`` also its price band, and with ``shares`` (``product.best_seller_share`` over the same edges) the share of
+    best sellers among the products of that band.
+    """
     if category is not None:
         performance = performance.filter(F.col("category") == category)
+    if edges is not None:
+        performance = price_band(performance, "paid_price", edges)
+        if shares is not None:
+            bands = kept(shares.select(F.col("band").alias("_band"), F.col("share").alias("band_best_seller_share")))
+            performance = performance.join(bands, F.col("band").eqNullSafe(F.col("_band")), "left").drop("_band")
     return (performance
             .join(scored.select("product_id", "r_score", "f_score", "m_score"),
                   "product_id", "left")
@@ -112,6 +133,43 @@ def custom_report(sales: DataFrame, dims: Sequence[str], measures: Sequence[str]
     return dated.groupBy(*dims).agg(*[known[m].alias(m) for m in measures])
 
 
+def source_mark(df: DataFrame) -> str:
+    """A mark of the files a frame reads: their paths, sizes and times of change.
+
+    Folders are listed once each, by the driver, and no data is read.
+    """
+    files = df.inputFiles()
+    if not files:
+        raise ValueError("only results of files can be kept by their sources")
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    found = []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        found += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}"
+                  for s in at.getFileSystem(conf).listStatus(at) if s.isFile()]
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
+
+
+def cached_result(df: DataFrame, root: str, name: str) -> DataFrame:
+    """A result set kept as a table below ``root`` under its plan and the state of its sources.
+
+    While both stay as they are it is read back, also by other sessions; once a source file has changed the result
+    is worked out anew and the old one goes. Results of the current time or of chance are kept like any other.
+    """
+    spark = df.sparkSession
+    plan = re.sub(r"#\d+L?|\[plan_id=\d+\]", "", df._jdf.queryExecution().analyzed().canonicalized().toString())
+    key = hashlib.md5(f"{plan}\n{df.semanticHash()}\n{df.schema.json()}\n{source_mark(df)}".encode()).hexdigest()
+    jvm, path = spark._jvm, f"{root}/{name}/{key}"
+    at = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        df.write.mode("overwrite").parquet(path)
+        for other in files.listStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")):
+            if other.getPath().getName() != key:
+                files.delete(other.getPath(), True)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cached(df: DataFrame, name: str) -> DataFrame:
     """Keep a result set for repeated reads under a view name; spills to disk."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)

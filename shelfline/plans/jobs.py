@@ -76,8 +76,7 @@ def build_gold(spark: SparkSession, root: str, as_of: str) -> None:
     write_gold(price.price_history(prices), root, "price_analytics", "price_history",
                ["retailer_id"], whole=True)
     write_gold(price.elasticity(sold), root, "price_analytics", "elasticity")
-    write_gold(price.vs_market(prices.join(categories, "product_id"), market, fx.OWN), root,
-               "price_analytics", "vs_market")
+    write_gold(price.vs_market(prices, market, fx.OWN, categories), root, "price_analytics", "vs_market")
     promotions = fx.promotions(sold)
     write_gold(promo.promo_performance(sold, promotions), root, "promotion_analytics",
                "performance")

@@ -9,11 +9,6 @@ from shelfline.plans import fixtures as fx
 from shelfline.plans.registry import day, query, rounded, sql
 
 
-def _categorised(spark, d):
-    return fx.observations(spark, d).join(
-        fx.products(spark, d).select("product_id", "category"), "product_id")
-
-
 @query("current_price", sql("cur", """
     SELECT product_id, retailer_id, strftime(observed_at, '%Y-%m-%d') AS observed_on,
            T(price) AS price, order_id, line_no FROM cur"""))
@@ -79,7 +74,7 @@ def _trend_sql(grain: str, moving: str) -> str:
 
 
 def _trend(spark, d, grain, k, frame):
-    out = price.price_trend(_categorised(spark, d), ["category"], grain, k, frame)
+    out = price.price_trend(fx.observations(spark, d), ["category"], grain, k, frame, fx.products(spark, d))
     out = rounded(out, "avg_price", "change", "pct_change", "moving_avg")
     return out.withColumn("period", day("period"))
 
@@ -179,7 +174,7 @@ def elasticity(spark, d):
           WHERE retailer_id = 0 GROUP BY ALL) AS mine
     LEFT JOIN market USING (category, month)"""))
 def vs_market(spark, d):
-    out = price.vs_market(_categorised(spark, d), fx.market(spark, d), fx.OWN)
+    out = price.vs_market(fx.observations(spark, d), fx.market(spark, d), fx.OWN, fx.products(spark, d))
     return rounded(out, "own_price", "market_price", "market_gap").withColumn("month", day("month"))
 
 

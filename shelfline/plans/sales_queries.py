@@ -9,6 +9,7 @@ from shelfline.operators import optimize, price, product, promo, rfm, serve
 from shelfline.plans import fixtures as fx
 from shelfline.plans.price_queries import AS_OF
 from shelfline.plans.registry import day, query, rounded, sql
+from shelfline.session import scratch
 
 _REVENUE = "CAST(sum(CAST(qty * net_price AS DECIMAL(20,6))) AS DOUBLE)"
 
@@ -305,8 +306,7 @@ _RECOMMEND = f"""opt AS ({_OPTIMAL}),
 
 def _recommended(spark, d):
     obs, listed = fx.observations(spark, d), fx.products(spark, d)
-    by_month = price.vs_market(obs.join(listed.select("product_id", "category"), "product_id"),
-                               fx.market(spark, d), fx.OWN)
+    by_month = price.vs_market(obs, fx.market(spark, d), fx.OWN, listed)
     return optimize.recommend(
         price.price_gap(price.current_price(obs), fx.OWN), listed,
         optimize.optimal_price(optimize.price_base(fx.sales(spark, d))),
@@ -407,6 +407,49 @@ def custom_report(spark, d):
     return rounded(out, "amount", "promo_share")
 
 
+@query("cached_result", sql("elas", """
+    SELECT category, T(elasticity) AS elasticity, CAST(n AS BIGINT) AS n FROM elas"""))
+def cached_result(spark, d):
+    """The same result set asked for twice; the second time it is read from the cache."""
+    root = scratch(spark)
+    for _ in range(2):
+        found = serve.cached_result(price.elasticity(fx.sales(spark, d)).select("category", "elasticity", "n"),
+                                    root, "elasticity")
+    return rounded(found, "elasticity")
+
+
+@query("price_kpis_retailer", sql("gap product market base cur", f""", {_RECOMMEND}
+    SELECT product_id, category, T(own_price) AS own_price, T(competitor_avg) AS competitor_avg,
+           T(gap) AS gap, T(category_avg) AS category_avg, action, T(suggested_price) AS suggested_price,
+           T(price) AS retailer_price, T((own_price - price) / price) AS retailer_gap
+    FROM rec JOIN (SELECT category, avg(price) AS category_avg FROM obs
+                   JOIN product USING (product_id) GROUP BY category) AS c USING (category)
+         JOIN (SELECT product_id, price FROM cur WHERE retailer_id = 2) AS r USING (product_id)"""))
+def price_kpis_retailer(spark, d):
+    """The price interface's result against one competitor."""
+    obs = fx.observations(spark, d)
+    out = serve.price_kpis(_recommended(spark, d), price.category_prices(obs, fx.products(spark, d)),
+                           retailer=2, current=price.current_price(obs))
+    return rounded(out, "own_price", "competitor_avg", "gap", "category_avg", "suggested_price",
+                   "retailer_price", "retailer_gap")
+
+
+@query("product_kpis_banded", sql("totals", f"""
+    , placed AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY units DESC, product_id) AS best,
+                 {_band_sql("paid_price")} AS band FROM totals)
+    SELECT product_id, category, units, T(revenue) AS revenue, CAST(band AS INTEGER) AS band,
+           T(avg(CASE WHEN best <= 10 THEN 1e0 ELSE 0e0 END) OVER (PARTITION BY band)) AS band_best_seller_share
+    FROM placed"""))
+def product_kpis_banded(spark, d):
+    """The product interface's result with price bands and how many of a band sell best."""
+    sold = fx.sales(spark, d)
+    out = serve.product_kpis(product.product_performance(sold),
+                             rfm.rfm_score(rfm.rfm(fx.sale_lines(spark, d), AS_OF)), product.best_sellers(sold, 10),
+                             edges=EDGES, shares=product.best_seller_share(sold, 10, EDGES))
+    return rounded(out, "revenue", "band_best_seller_share").select(
+        "product_id", "category", "units", "revenue", "band", "band_best_seller_share")
+
+
 @query("cached", sql("elas", """
     SELECT category, T(elasticity) AS elasticity, CAST(n AS BIGINT) AS n FROM elas"""))
 def cached(spark, d):

@@ -113,14 +113,16 @@ def merge_table(table: str, updates: DataFrame, keys: Sequence[str], order: Sequ
 
 
 def publish(df: DataFrame, table: str, url: str | None = None, as_view: bool = False,
-            **options) -> None:
-    """Publish a gold table to the warehouse: JDBC with ``url``, else the catalog."""
+            path: str | None = None, **options) -> None:
+    """Publish a gold table to the warehouse: JDBC with ``url``, else a table of the catalog, whose files lie in its
+    warehouse or at ``path``; publishing again replaces it. ``as_view`` only names the frame for this session."""
     if url:
         df.write.mode("overwrite").option("truncate", "true").jdbc(url, table, properties=options)
     elif as_view:
         df.createOrReplaceTempView(table)
     else:
-        df.write.mode("overwrite").saveAsTable(table)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def export_report(df: DataFrame, path: str, fmt: str, report_date: date | str) -> None:

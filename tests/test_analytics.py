@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.functions import merging
 from shelfline.operators import optimize, price, product, promo, rfm, serve
 from shelfline.schemas import PRICE_OBSERVATION, PROMOTION, SALE
 
@@ -215,3 +216,70 @@ def test_reports(spark):
     kept = serve.cached(out, "report_view")
     assert spark.table("report_view").count() == 1 and kept.is_cached
     kept.unpersist()
+
+
+def test_sums_below_a_join_equal_sums_above_it(spark):
+    rows = spark.createDataFrame([(i % 7 or None, float(i) if i % 5 else None, i % 3) for i in range(200)],
+                                 "product_id int, price double, retailer_id int")
+    dimension = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (3, "c"), (4, None), (9, "d")],
+                                      "product_id int, category string")
+    measures = {"n": merging.counted("price"), "total": merging.summed("price"), "mean": merging.averaged("price"),
+                "low": merging.least("price"), "high": merging.greatest("price")}
+    odd = (F.col("retailer_id") % 2).alias("odd")
+    out = merging.summed_below(rows, ["product_id"], dimension, ["category"], measures, {"odd": odd})
+    want = rows.join(dimension, "product_id").groupBy("category", odd).agg(
+        F.count("price"), F.sum("price"), F.avg("price"), F.min("price"), F.max("price"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):]
+    assert joined.index("Aggregate") < joined.index("LogicalRDD")
+
+
+def test_trend_meets_products_after_its_sums(spark, tmp_path):
+    obs = spark.createDataFrame([(i % 5, 0, dt.datetime(2020, 1 + i % 9, 1 + i % 20), float(i)) for i in range(300)],
+                                "product_id int, retailer_id int, observed_at timestamp, price double")
+    listed = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(4)], "product_id int, category string")
+    below = price.price_trend(obs, ["category"], dimension=listed)
+    above = price.price_trend(obs.join(listed, "product_id"), ["category"])
+    key = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.na.fill(-1).collect())
+    assert key(below) == key(above)
+    market = price.price_trend(obs, ["product_id"]).limit(0).select(
+        F.lit("a").alias("category"), F.col("period").alias("month"), F.col("avg_price").alias("market_price"))
+    assert key(price.vs_market(obs, market, dimension=listed).drop("market_gap", "market_price")) == key(
+        price.vs_market(obs.join(listed, "product_id"), market).drop("market_gap", "market_price"))
+
+
+def test_cached_result_follows_its_sources(spark, tmp_path):
+    source, root = str(tmp_path / "facts"), str(tmp_path / "cache")
+    spark.range(10).write.parquet(source)
+    asked = lambda session: serve.cached_result(session.read.parquet(source).agg(F.sum("id").alias("s")), root, "sum")
+    first = asked(spark)
+    assert first.first()["s"] == 45 and not any(f.startswith("file:" + source) for f in first.inputFiles())
+    entry = [p.name for p in (tmp_path / "cache" / "sum").iterdir()]
+    for session in (spark, spark.newSession()):
+        assert asked(session).first()["s"] == 45
+    assert [p.name for p in (tmp_path / "cache" / "sum").iterdir()] == entry and len(entry) == 1
+    spark.range(1).select(F.lit(100).cast("long").alias("id")).write.mode("append").parquet(source)
+    assert asked(spark).first()["s"] == 145
+    assert len(list((tmp_path / "cache" / "sum").iterdir())) == 1
+    other = serve.cached_result(spark.read.parquet(source).agg(F.max("id").alias("s")), root, "most")
+    assert other.first()["s"] == 100 and asked(spark).first()["s"] == 145
+    with pytest.raises(ValueError, match="files"):
+        serve.cached_result(spark.createDataFrame([(1,)], "v int"), root, "none")
+
+
+def test_interfaces_by_retailer_and_band(spark):
+    rec = spark.createDataFrame([(1, "a", 12.0, 10.0, 0.2, "lower", 11.0), (2, "a", 9.0, 10.0, -0.1, "hold", 9.0)],
+                                "product_id int, category string, own_price double, competitor_avg double, gap double, "
+                                "action string, suggested_price double")
+    means = spark.createDataFrame([("a", 10.5, 1)], "category string, avg_price double, level int")
+    current = spark.createDataFrame([(1, 2, 8.0), (1, 3, 20.0), (2, 3, 9.0)], "product_id int, retailer_id int, price double")
+    out = serve.price_kpis(rec, means, retailer=2, current=current).collect()
+    assert [(r["product_id"], r["retailer_price"], r["retailer_gap"]) for r in out] == [(1, 8.0, 0.5)]
+    performance = spark.createDataFrame([(1, 5.0), (2, 50.0), (3, None)], "product_id int, paid_price double")
+    scored = spark.createDataFrame([], "product_id int, r_score int, f_score int, m_score int")
+    best = spark.createDataFrame([(2, 1)], "product_id int, place int")
+    shares = spark.createDataFrame([(0, 0.0), (1, 1.0), (None, 0.5)], "band int, share double")
+    found = serve.product_kpis(performance, scored, best, edges=[10.0], shares=shares).orderBy("product_id").collect()
+    assert [(r["band"], r["band_best_seller_share"], r["best_seller_place"]) for r in found] == [
+        (0, 0.0, None), (1, 1.0, 1), (None, 0.5, None)]

@@ -129,6 +129,33 @@ def test_match_products_equals_brute_force(spark, max_dist):
     assert {r["product_id"]: (r["match_id"], r["distance"]) for r in found.collect()} == want
 
 
+def far(a, b):
+    """Edit distance of sorted tokens, or of the odd tokens of names that have all others in common."""
+    a, b = sorted(a.split()), sorted(b.split())
+    ways = [distance(" ".join(a), " ".join(b))]
+    for i, x in enumerate(a):
+        ways += [distance(x, y) for j, y in enumerate(b) if len(a) > 1 and a[:i] + a[i + 1:] == b[:j] + b[j + 1:]]
+    return min(ways)
+
+
+@pytest.mark.parametrize("max_dist", [1, 2])
+def test_match_products_by_all_tokens_but_one(spark, max_dist):
+    pick = random.Random(10 + max_dist)
+    word = lambda: "".join(pick.choice("abc") for _ in range(pick.randint(1, 4)))
+    side = lambda n: [(i, " ".join(word() for _ in range(pick.randint(1, 3))), pick.choice("xy")) for i in range(n)]
+    a, b = side(60), side(60)
+    a += [(100, "hot anvil", "x")]
+    b += [(100, "hot xanvil", "x")]
+    schema = "product_id int, name string, block string"
+    found = normalize.match_products(spark.createDataFrame(a, schema),
+                                     spark.createDataFrame(b, schema), "block", max_dist)
+    found = {r["product_id"]: (r["match_id"], r["distance"]) for r in found.collect()}
+    for i, name, block in a:
+        near = [(far(name, other), j) for j, other, where in b if where == block and far(name, other) <= max_dist]
+        assert found[i] == (min(near)[::-1] if near else (None, None)), name
+    assert found[100] == (100, 1) and distance("anvil hot", "hot xanvil") > 2
+
+
 def test_match_products_with_many_copies(spark):
     a = spark.range(300).select(F.col("id").alias("product_id"), F.lit("red gear").alias("name"),
                                 F.lit("x").alias("block"))

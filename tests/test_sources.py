@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shelfline.schemas import PRICE_EVENT
 from shelfline.session import scratch
 from shelfline.sources import tables, topics
+from shelfline.streaming import changes
 
 
 def test_malformed_messages_are_no_events(spark):
@@ -28,3 +29,18 @@ def test_malformed_rows_of_files(spark, fmt, lines, bad):
     assert [tuple(r) for r in rows.collect()] == [(1, "a")]
     assert sorted(r["record"] for r in malformed.collect()) == bad
     assert malformed.count() == len(bad)
+
+
+def test_replayed_messages_keep_the_contract(spark, tmp_path):
+    lines = ['{"event_id": 1, "event_time": "2024-01-01T10:00:00", "product_id": 7, "retailer_id": 2, "new_price": 3.5}',
+             '{"event_id": 2, "new_price": "dear"}', "no json", '{"event_id": 3']
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    for streaming in (False, True):
+        events, malformed = topics.replay(spark, "price-changes", str(tmp_path), streaming)
+        if streaming:
+            events, malformed = changes.drained(events), changes.drained(malformed)
+        assert [(r["event_id"], r["product_id"], r["new_price"], r["topic"]) for r in events.collect()] == [
+            (1, 7, 3.5, "price-changes")]
+        assert sorted(r["value"] for r in malformed.collect()) == sorted(lines[1:])
+    with pytest.raises(ValueError):
+        topics.replay(spark, "alerts", str(tmp_path))
