@@ -8,36 +8,80 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfline.operators import price, product, promo, quality, rfm
+from shelfline.operators import optimize, price, product, promo, quality, rfm, serve
 from shelfline.operators.audit import audited
+from shelfline.operators.normalize import match_products, normalize_price
 from shelfline.plans import fixtures as fx
-from shelfline.schemas import MARKET_TREND, PRICE_OBSERVATION, SALE
+from shelfline.schemas import MARKET_TREND, PRICE_OBSERVATION, PRICE_QUOTE, SALE
 from shelfline.session import kept
 from shelfline.sinks.layers import write_bronze, write_gold, write_silver
+from shelfline.sources.pages import extract_pages as pages_of
 from shelfline.sources.tables import read_layer
 
+# Price changes that the what-if table and the forecasts are kept for.
+SCENARIOS = {"-10%": -0.1, "-5%": -0.05, "+5%": 0.05, "+10%": 0.1}
+
+
+BASE_CURRENCY = "VND"
+# Names of a silver row's key: one price, or one sale, of a line at a time.
+_LINE = ["product_id", "retailer_id", "order_id", "line_no"]
+
 
 def load_bronze(spark: SparkSession, sf_dir: str, root: str, run_id: str) -> None:
     """Land competitor prices, internal sales and market trends."""
     rivals = fx.observations(spark, sf_dir).filter(F.col("retailer_id") != fx.OWN)
-    write_bronze(rivals, root, "competitors", run_id, "pages")
+    quotes = rivals.withColumns({"currency": F.lit(BASE_CURRENCY), "tax_included": F.lit(True)})
+    write_bronze(quotes, root, "competitors", run_id, "feed")
     write_bronze(fx.sales(spark, sf_dir), root, "internal", run_id, "sales")
     write_bronze(fx.market(spark, sf_dir), root, "market_trends", run_id, "market")
 
 
-def _landed(spark: SparkSession, root: str, dataset: str, schema) -> DataFrame:
-    """All runs of a bronze dataset, rows delivered in several runs once."""
-    rows = read_layer(spark, root, "bronze", dataset)
-    return quality.conform(rows, schema).dropDuplicates()
-
-
-def build_silver(spark: SparkSession, root: str, run_id: str) -> dict[str, dict[str, int]]:
-    """Checked prices of all retailers and checked sales; returns the audit counts."""
-    internal = kept(_landed(spark, root, "internal", SALE))
+def page_quotes(pages: DataFrame, products: DataFrame, retailers: dict[str, int], seen_at: str,
+                max_dist: int = 1) -> DataFrame:
+    """Competitor prices read from landed pages, for products of the own range.
+
+    A product of a page is matched by its name (see ``match_products``); hosts that are no retailer,
+    items without a price and names that nothing is close to are left out. A page stands as an order, its items as lines.
+    """
+    hosts = F.create_map(*[F.lit(x) for pair in retailers.items() for x in pair])
+    items = kept(pages_of(pages).filter("price IS NOT NULL AND product_name IS NOT NULL")
+                 .withColumn("retailer_id", F.try_element_at(hosts, "host").cast("bigint")).filter("retailer_id IS NOT NULL"))
+    names = items.select(F.xxhash64("product_name").alias("product_id"), F.col("product_name").alias("name")).distinct()
+    one = F.lit("range")
+    found = match_products(names.withColumn("block", one), products.select("product_id", "name", one.alias("block")),
+                           "block", max_dist).filter("match_id IS NOT NULL")
+    known = found.select(F.col("product_id").alias("_name"), "match_id")
+    return items.join(known, F.xxhash64("product_name") == F.col("_name")).select(
+        F.col("match_id").alias("product_id"), "retailer_id", F.lit(seen_at).cast("timestamp").alias("observed_at"), "price",
+        F.col("page_id").alias("order_id"), F.col("item_no").cast("int").alias("line_no"),
+        F.coalesce("currency", F.lit(BASE_CURRENCY)).alias("currency"), F.lit(True).alias("tax_included"))
+
+
+def _landed(spark: SparkSession, root: str, dataset: str, schema, at: str, order: str) -> DataFrame:
+    """All runs of a bronze dataset; of a line delivered in several runs the one landed last."""
+    rows = quality.conform(read_layer(spark, root, "bronze", dataset), schema, allow_new=True)
+    return quality.dedup(rows, [*_LINE, at], ["_ingest_ts", order]).select(*schema.names)
+
+
+def build_silver(spark: SparkSession, root: str, run_id: str, rates: dict[str, float] | None = None,
+                 tax_rate: float = 0.1) -> dict[str, dict[str, int]]:
+    """Checked prices of all retailers in the base currency with tax, and checked sales; returns the audit counts.
+
+    ``rates`` gives the base currency per unit of others. Prices in currencies without a rate, and rows without a key, go
+    to the rejected ones. A sale without a discount has none; one without a quantity gets its category's median.
+    """
+    sold = quality.handle_nulls(_landed(spark, root, "internal", SALE, "sold_at", "amount"), [],
+                                {"discount": 0.0}, {"qty": "category"})
+    internal = kept(sold)
     own = internal.filter(F.col("retailer_id") == fx.OWN).select(
         "product_id", "retailer_id", F.col("sold_at").alias("observed_at"),
         (F.col("amount") / F.nullif("qty", F.lit(0.0))).alias("price"), "order_id", "line_no")
-    prices = kept(_landed(spark, root, "competitors", PRICE_OBSERVATION).unionByName(own))
+    quotes = _landed(spark, root, "competitors", PRICE_QUOTE, "observed_at", "price")
+    listed = spark.createDataFrame([(c, float(r)) for c, r in {BASE_CURRENCY: 1.0, **(rates or {})}.items()],
+                                   "currency string, rate double")
+    normal = normalize_price(quotes.withColumn("content", F.lit(1.0)), listed, tax_rate)
+    rivals = normal.withColumn("price", F.col("norm_price")).select(*PRICE_OBSERVATION.names)
+    prices = kept(rivals.unionByName(own))
 
     def step(name: str, source: DataFrame, rules: dict, dataset: str, partition: str):
         return audited(
@@ -76,8 +120,23 @@ def build_gold(spark: SparkSession, root: str, as_of: str) -> None:
     write_gold(price.price_history(prices), root, "price_analytics", "price_history",
                ["retailer_id"], whole=True)
     write_gold(price.elasticity(sold), root, "price_analytics", "elasticity")
-    write_gold(price.vs_market(prices, market, fx.OWN, categories), root, "price_analytics", "vs_market")
-    promotions = fx.promotions(sold)
+    by_month = kept(price.vs_market(prices, market, fx.OWN, categories))
+    write_gold(by_month, root, "price_analytics", "vs_market")
+    write_gold(price.price_trend(prices, ["category"], dimension=categories), root, "price_analytics", "trend")
+    write_gold(price.category_prices(prices, sold.select("product_id", "category", "brand").distinct()), root,
+               "price_analytics", "category_prices")
+    base = kept(optimize.price_base(sold))
+    optimum = kept(optimize.optimal_price(base))
+    write_gold(optimum, root, "price_analytics", "optimum")
+    write_gold(optimize.what_if(base, SCENARIOS), root, "price_analytics", "what_if")
+    gap = read_layer(spark, root, "gold", "price_analytics/price_gap")
+    write_gold(optimize.recommend(gap, categories, optimum, optimize.market_position(by_month)), root,
+               "price_analytics", "recommendations")
+    write_gold(product.demand_forecast(sold, list(SCENARIOS.values())), root, "product_analytics", "demand_forecast")
+    promotions = kept(fx.promotions(sold))
+    write_gold(promo.promo_cube(sold), root, "promotion_analytics", "cube")
+    write_gold(promo.promo_forecast(sold, promotions.select("category", "depth").distinct()), root,
+               "promotion_analytics", "forecast")
     write_gold(promo.promo_performance(sold, promotions), root, "promotion_analytics",
                "performance")
     write_gold(promo.promo_uplift(sold), root, "promotion_analytics", "uplift")
@@ -85,3 +144,22 @@ def build_gold(spark: SparkSession, root: str, as_of: str) -> None:
     write_gold(product.product_performance(sold), root, "product_analytics", "performance")
     write_gold(rfm.rfm_segment(rfm.rfm_score(rfm.rfm(sold, as_of))), root, "product_analytics",
                "rfm")
+
+
+def gold(spark: SparkSession, root: str, mart: str, name: str) -> DataFrame:
+    """A result table of a mart."""
+    return read_layer(spark, root, "gold", f"{mart}/{name}")
+
+
+def price_kpis(spark: SparkSession, root: str, **asked) -> DataFrame:
+    """The price interface from gold tables alone; ``asked`` as in ``serve.price_kpis``."""
+    if asked.get("retailer") is not None:
+        asked["current"] = gold(spark, root, "price_analytics", "current_price")
+    return serve.price_kpis(gold(spark, root, "price_analytics", "recommendations"),
+                            gold(spark, root, "price_analytics", "category_prices"), **asked)
+
+
+def promotion_kpis(spark: SparkSession, root: str, **asked) -> DataFrame:
+    """The promotion interface from gold tables alone."""
+    return serve.promotion_kpis(*[gold(spark, root, "promotion_analytics", name) for name in ("performance", "uplift", "roi")],
+                                **asked)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.numbers import tidy
 from shelfline.operators import optimize, price, product, promo, rfm, serve
-from shelfline.plans import fixtures as fx
+from shelfline.plans import fixtures as fx, jobs
 from shelfline.plans.price_queries import AS_OF
 from shelfline.plans.registry import day, query, rounded, sql
 from shelfline.session import scratch
@@ -407,6 +407,52 @@ def custom_report(spark, d):
     return rounded(out, "amount", "promo_share")
 
 
+def _lake(spark, d):
+    """Bronze, silver and gold built by the jobs, bronze in two runs that deliver the same rows."""
+    root = scratch(spark)
+    for run_id in ("run-1", "run-2"):
+        jobs.load_bronze(spark, d, root, run_id)
+    jobs.build_silver(spark, root, "run-2")
+    jobs.build_gold(spark, root, AS_OF)
+    return root
+
+
+@query("silver_prices", sql("obs", """
+    SELECT product_id, retailer_id, strftime(observed_at, '%Y-%m-%d') AS observed_on, T(price) AS price,
+           order_id, line_no FROM obs"""))
+def silver_prices(spark, d):
+    """Prices of all retailers as the jobs bring them to silver."""
+    root = scratch(spark)
+    for run_id in ("run-1", "run-2"):
+        jobs.load_bronze(spark, d, root, run_id)
+    jobs.build_silver(spark, root, "run-2")
+    found = rounded(jobs.silver_prices(spark, root), "price")
+    return found.withColumn("observed_on", day("observed_at")).drop("observed_at")
+
+
+@query("gold_recommendations", sql("gap product market base", f""", {_RECOMMEND}
+    SELECT product_id, category, T(own_price) AS own_price, T(gap) AS gap,
+           CAST(votes AS INTEGER) AS votes, action, T(suggested_price) AS suggested_price
+    FROM rec"""))
+def gold_recommendations(spark, d):
+    """Recommendations as they lie in gold after the jobs have run."""
+    found = jobs.gold(spark, _lake(spark, d), "price_analytics", "recommendations")
+    return rounded(found, "own_price", "gap", "suggested_price").select(
+        "product_id", "category", "own_price", "gap", "votes", "action", "suggested_price")
+
+
+@query("kpis_from_gold", sql("gap product market base", f""", {_RECOMMEND}
+    SELECT product_id, category, T(own_price) AS own_price, T(competitor_avg) AS competitor_avg,
+           T(gap) AS gap, T(category_avg) AS category_avg, action,
+           T(suggested_price) AS suggested_price
+    FROM rec JOIN (SELECT category, avg(price) AS category_avg FROM obs
+                   JOIN product USING (product_id) GROUP BY category) AS c USING (category)"""))
+def kpis_from_gold(spark, d):
+    """The price interface answered from gold tables alone."""
+    out = jobs.price_kpis(spark, _lake(spark, d))
+    return rounded(out, "own_price", "competitor_avg", "gap", "category_avg", "suggested_price")
+
+
 @query("cached_result", sql("elas", """
     SELECT category, T(elasticity) AS elasticity, CAST(n AS BIGINT) AS n FROM elas"""))
 def cached_result(spark, d):

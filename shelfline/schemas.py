@@ -25,6 +25,10 @@ def schema_of(columns: str) -> StructType:
 PRICE_OBSERVATION = schema_of(
     "product_id bigint, retailer_id bigint, observed_at timestamp, price double, "
     "order_id bigint, line_no int")
+# A price as a competitor shows it; observations are in the base currency, tax included.
+PRICE_QUOTE = schema_of(
+    "product_id bigint, retailer_id bigint, observed_at timestamp, price double, "
+    "order_id bigint, line_no int, currency string, tax_included boolean")
 PRODUCT = schema_of(
     "product_id bigint, name string, brand string, category string, "
     "list_price double, pack_size int")

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from shelfline.operators import price, quality
 from shelfline.operators.audit import audit_log
 from shelfline.plans import fixtures as fx, jobs
+from shelfline.schemas import PRICE_QUOTE, SALE
 from shelfline.session import scratch
+from shelfline.sinks.layers import write_bronze
 from shelfline.sources.tables import read_layer
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,3 +35,58 @@ def test_layers_agree_and_reruns_change_nothing(spark):
     assert gold.exceptAll(gap.select(*gold.columns)).count() == 0
     log = audit_log(spark, f"{root}/audit")
     assert log.filter("status = 'done' AND seconds > 0").count() == 6
+
+
+def test_silver_normalises_fills_and_takes_the_last_delivery(spark):
+    root = scratch(spark)
+    quote = [(1, 2, "2020-01-01 00:00:00", 10.0, 1, 1, "USD", False), (1, 2, "2020-01-02 00:00:00", 5.0, 1, 2, "VND", True),
+             (1, 2, "2020-01-03 00:00:00", 5.0, 1, 3, "XXX", True), (None, 2, "2020-01-03 00:00:00", 5.0, 1, 4, "VND", True)]
+    sale = [(1, 1, 1, 0, "2020-01-01 00:00:00", 2.0, 8.0, None, 4.0, False, "a", "x"),
+            (2, 1, 1, 0, "2020-01-02 00:00:00", 4.0, 8.0, 0.1, 4.0, True, "a", "x"),
+            (3, 1, 1, 0, "2020-01-03 00:00:00", None, 9.0, 0.1, 4.0, True, "a", "x")]
+    cast = lambda rows, schema, at: spark.createDataFrame(
+        rows, ", ".join(f"{f.name} {'string' if f.name == at else f.dataType.simpleString()}" for f in schema)).withColumn(
+        at, F.col(at).cast("timestamp"))
+    write_bronze(cast(quote, PRICE_QUOTE, "observed_at"), root, "competitors", "a", "feed")
+    write_bronze(cast(sale, SALE, "sold_at"), root, "internal", "a", "sales")
+    later = [(1, 2, "2020-01-02 00:00:00", 6.0, 1, 2, "VND", True)]
+    write_bronze(cast(later, PRICE_QUOTE, "observed_at"), root, "competitors", "b", "feed")
+    counts = jobs.build_silver(spark, root, "b", {"USD": 20.0}, 0.1)
+    assert counts["prices"] == {"rows_in": 7, "rows_out": 5, "rows_rejected": 2}
+    prices = jobs.silver_prices(spark, root)
+    assert sorted((r["retailer_id"], r["line_no"], round(r["price"], 9)) for r in prices.collect()) == [
+        (0, 1, 2.0), (0, 1, 3.0), (0, 1, 4.0), (2, 1, 220.0), (2, 2, 6.0)]
+    sold = sorted((r["order_id"], r["qty"], r["discount"]) for r in jobs.silver_sales(spark, root).collect())
+    assert sold == [(1, 2.0, 0.0), (2, 4.0, 0.1), (3, 3.0, 0.1)]
+    bad = spark.read.parquet(f"{root}/rejected/normalized/b").collect()
+    assert sorted(r["failed"] for r in bad) == [["price"], ["product"]]
+
+
+def test_pages_become_quotes(spark):
+    html = ("<h1>Hot Anvil</h1><span class=\"price\">12.50 USD</span><h2>Red geer</h2><b class=\"price\">3,00 EUR</b>"
+            "<h2>Unknown thing</h2><i class=\"price\">9 USD</i><h2>Hot xanvil</h2>")
+    pages = spark.createDataFrame([(7, "https://shop.example/a", html), (8, "https://other.example/", html)],
+                                  "page_id long, url string, html string")
+    products = spark.createDataFrame([(1, "red gear"), (2, "anvil hot")], "product_id long, name string")
+    out = jobs.page_quotes(pages, products, {"shop.example": 3}, "2024-05-01")
+    assert sorted((r["product_id"], r["retailer_id"], r["price"], r["currency"], r["order_id"]) for r in out.collect()) == [
+        (1, 3, 3.0, "EUR", 7), (2, 3, 12.5, "USD", 7)]
+    root = scratch(spark)
+    write_bronze(out, root, "competitors", "pages-1", "pages")
+    assert read_layer(spark, root, "bronze", "competitors").count() == 2 and set(PRICE_QUOTE.names) <= set(
+        read_layer(spark, root, "bronze", "competitors").columns)
+
+
+def test_interfaces_from_gold(spark):
+    root = scratch(spark)
+    jobs.load_bronze(spark, SF_DIR, root, "r")
+    jobs.build_silver(spark, root, "r")
+    jobs.build_gold(spark, root, "2001-12-31")
+    whole = jobs.price_kpis(spark, root)
+    assert whole.count() == jobs.gold(spark, root, "price_analytics", "recommendations").count() > 100
+    assert jobs.price_kpis(spark, root, retailer=2, limit=5).filter("retailer_price > 0").count() == 5
+    assert jobs.promotion_kpis(spark, root).filter("uplift IS NOT NULL").count() > 0
+    for name in ("trend", "optimum", "what_if", "category_prices"):
+        assert jobs.gold(spark, root, "price_analytics", name).count() > 0
+    files = whole.inputFiles()
+    assert files and all("/gold/" in f or "/gold/" not in f and root not in f for f in files)
