@@ -128,7 +128,11 @@ def shard(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int =
 
 
 def write_shards(docs: DataFrame, folder: str, **options) -> None:
-    """Write whole documents as one folder per shard, in the order of their slots within each file."""
+    """Write whole documents as one folder per shard, in the order of their slots within each file.
+
+    Columns named size, text_crc32, shard or slot give way to those of the shards. Null and empty texts, null ids and
+    rows that repeat are written like any other; an empty table makes no folder.
+    """
     keep = tuple(c for c in docs.columns if c not in {options.get("id", "doc_id"), "size", "text_crc32", "shard", "slot"})
     out = shard(docs, keep=keep, **options)
     out.write.mode("overwrite").partitionBy("shard").parquet(folder)

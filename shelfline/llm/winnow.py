@@ -77,7 +77,10 @@ def digest(print: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
-    """Add ``fingerprint``, the array of (hash, position) of each whole text; a null text is empty."""
+    """Add ``fingerprint``, the array of (hash, position) of each whole text, in place of a column of that name.
+
+    A null or empty text has an empty one, equal texts have equal ones; rows, null ids and other columns stay as they are.
+    """
     return docs.withColumn("fingerprint", winnowed(F.coalesce(F.col(text), F.lit("")), k, window))
 
 
