@@ -114,37 +114,52 @@ def common_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     totals = counts.filter(F.octet_length("word") == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = (counts.filter(F.octet_length("word") > 0)
-           .join(totals.filter(F.col("n") >= REFERENCE_WORDS).select("lang"), "lang", "left_semi")
-           .withColumn("place", place).filter(F.col("place") <= COMMON_WORDS))
+    # Each task cuts its counts to a language's first words before the shuffle; nothing may come between.
+    top = (counts.filter(F.octet_length("word") > 0).withColumn("place", place).filter(F.col("place") <= COMMON_WORDS)
+           .join(kept(totals.filter(F.col("n") >= REFERENCE_WORDS).select("lang")), "lang", "left_semi"))
     words = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col("word").cast("string").alias("word")))),
                         lambda x: x["word"])
     return kept(top.groupBy("lang").agg(F.array_join(words, " ").alias("listed")))
 
 
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of counts; null if one is empty."""
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
-    def of(p: Column, q: Column, n: Column, m: Column) -> Column:
+    def of(n: Column, m: Column) -> Column:
         terms = F.zip_with(p, q, lambda x, y: (
             part(x / n, (x / n + y / m) / 2) + part(y / m, (x / n + y / m) / 2)) / 2)
-        return F.sqrt(F.greatest(total(terms), F.lit(0.0)))
+        return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(_total(terms), F.lit(0.0))))
+
+    # The one-element transform names the totals, so that they are summed once and not for every element.
+    totals = F.array(F.struct(_total(p).alias("n"), _total(q).alias("m")))
+    return F.transform(totals, lambda t: of(t["n"], t["m"]))[0]
+
 
-    return F.when((total(p) > 0) & (total(q) > 0), of(p, q, total(p), total(q)))
+def lacking(ref: Column) -> Column:
+    """Distance of a text without any common word from a reference."""
+    return js_distance(F.array(*[F.lit(int(i == 0)) for i in range(COMMON_WORDS + 1)]), ref)
+
+
+def max_common(common: Column, ref: Column, none: Column | None = None) -> Column:
+    """Largest distance of a kept document's common words; null if too few are due to judge.
+
+    ``none`` is what ``lacking`` gives for the reference, where it is known.
+    """
+    none = lacking(ref) if none is None else none
 
+    def of(n: Column) -> Column:
+        chance = F.lit(NOISE * COMMON_WORDS / (8 * math.log(2))) / n
+        due = n * (1 - F.get(ref, F.lit(0)) / _total(ref))
+        limit = F.least(NO_COMMON * none, F.sqrt((MAX_COMMON * none) ** 2 + chance))
+        return F.when((n > 0) & (due >= EXPECTED), limit)
 
-def max_common(common: Column, ref: Column) -> Column:
-    """Largest distance of a kept document's common words; null if too few are due to judge."""
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    lacking = js_distance(F.array(*[F.lit(int(i == 0)) for i in range(COMMON_WORDS + 1)]), ref)
-    chance = F.lit(NOISE * COMMON_WORDS / (8 * math.log(2))) / total(common)
-    due = total(common) * (1 - F.get(ref, F.lit(0)) / total(ref))
-    limit = F.least(NO_COMMON * lacking, F.sqrt((MAX_COMMON * lacking) ** 2 + chance))
-    return F.when((total(common) > 0) & (due >= EXPECTED), limit)
+    return F.transform(F.array(_total(common)), of)[0]
 
 
 def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -190,7 +205,8 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     refs = (stats.groupBy("lang").agg(*sums, F.sum("n_words").alias("size"))
             .filter(F.col("w0").isNotNull())
             .select("lang", F.array(*[f"c{i}" for i in range(CLASSES)]).alias("ref_chars"),
-                    F.array(*[f"w{i}" for i in range(COMMON_WORDS + 1)]).alias("ref_common")))
+                    F.array(*[f"w{i}" for i in range(COMMON_WORDS + 1)]).alias("ref_common"))
+            .withColumn("lacking", lacking(F.col("ref_common"))))
     n, n_repeat = F.col("n_words"), F.col("n_repeat_words")
     judged = F.col("n_words") >= GUARD_WORDS
     return (stats.join(kept(refs), "lang", "left")
@@ -199,5 +215,6 @@ def measured(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str
             .withColumn("base_failed", (n < MIN_WORDS) | (100 * n_repeat > MAX_REPEATED * n))
             .withColumn("kept", ~F.col("base_failed")
                         & (F.coalesce(F.col("chars_js"), F.lit(0.0)) <= MAX_CHARS)
-                        & F.coalesce(F.col("common_js") <= max_common(F.col("common"), F.col("ref_common")), F.lit(True)))
+                        & F.coalesce(F.col("common_js") <= max_common(
+                            F.col("common"), F.col("ref_common"), F.col("lacking")), F.lit(True)))
             .select(F.col("id").alias(id), *names[:5], "chars_js", "common_js", "base_failed", "kept"))
