@@ -17,6 +17,8 @@ WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 # Keys of a source are counted in so many bins; only the bin the budget ends in is sorted.
 BINS = 65_536
+EDGE_ROWS = 100_000  # rows of a source that are sorted in one task
+ROUNDS = 16          # most rounds in which a crowded bin is cut
 _UNIT = float(1 << 53)
 
 
@@ -52,6 +54,40 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
                          F.least(limit, w * F.coalesce("free", F.lit(0.0))).alias("target"))
 
 
+def _refined(edge: DataFrame, names: list[str]) -> list[DataFrame]:
+    """The rows in whose bin a source's budget ends, in frames with ``more``: 1 for those that are taken once more.
+
+    ``before`` is the size of all rows of the source before the bin. A crowded bin is cut into BINS parts between its least
+    and greatest key; the part in which the budget ends is the next round's bin. Rows of one key are not cut.
+    """
+    out = []
+    for _ in range(ROUNDS):
+        edge = kept(edge)
+        spans = kept(edge.groupBy("source").agg(
+            F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high")))
+        if spans.filter((F.col("n") > EDGE_ROWS) & (F.col("low") < F.col("high"))).isEmpty():
+            break
+        same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
+        place = F.least(F.floor((F.col("key") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * BINS),
+                        F.lit(BINS - 1))
+        parts = (edge.alias("e").join(spans.alias("s"), same("e", "s")).select("e.*", "low", "high")
+                 .withColumn("part", F.coalesce(place, F.lit(0))).drop("low", "high"))
+        sums = parts.groupBy("source", "part").agg(F.sum("size").alias("sum"), F.max("before").alias("start"),
+                                                   F.max("budget").alias("goal"))
+        so_far = F.col("start") + F.sum("sum").over(Window.partitionBy("source").orderBy("part")) - F.col("sum")
+        ends = kept(sums.withColumn("from", so_far).filter(F.col("from") + F.col("sum") >= F.col("goal"))
+                    .groupBy("source").agg(F.min(F.struct("part", "from")).alias("end")))
+        joined = parts.alias("p").join(ends.alias("l"), same("p", "l"), "left").select("p.*", "end")
+        here = F.col("part").eqNullSafe(F.col("end.part"))
+        out.append(joined.filter(~here).withColumn("more", F.coalesce(
+            F.col("part") < F.col("end.part"), F.lit(True)).cast("long")).drop("part", "end"))
+        edge = joined.filter(here).withColumn("before", F.col("end.from").cast("double")).drop("part", "end")
+    up_to = F.sum("size").over(Window.partitionBy("source").orderBy("key", "id", *names)
+                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    taken = F.col("before") + up_to - F.col("size") / 2 < F.col("budget")
+    return [*out, edge.withColumn("more", taken.cast("long"))]
+
+
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[float, ...] = WEIGHTS, most: float = MOST_EPOCHS, seed: int = 42,
         keep: tuple[str, ...] = ()) -> DataFrame:
@@ -63,8 +99,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     ordered by a second hash of nothing else, so all copies of a row stand together. A source's words come within half a
     document of its target: the last document is taken if that brings the sum nearer.
 
-    Only sizes are summed to source and bin; the one bin per source in which the budget ends is sorted,
-    about rows / BINS of a source however hot it is.
+    Only sizes are summed to source and bin; of the one bin per source in which the budget ends the rows are binned again
+    by their own range of keys until few are left, which are sorted. So low quality, which crowds the last bin, or
+    a hot source puts no more than EDGE_ROWS rows, or rows of one key, into a task.
     """
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id), F.col(text)), 11) + 1) / F.lit(_UNIT + 1)
     key = -F.log(draw) / quality(text)
@@ -90,13 +127,13 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     placed = (base.alias("d").join(goals.alias("g"), same("d", "g"))
               .select("d.*", "source_size", "target", "epochs", "budget", "last"))
     at, end = F.col("bin"), F.col("last.bin")
-    up_to = F.sum("size").over(Window.partitionBy("source").orderBy("key", "id", *names)
-                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edge = (placed.filter(at == end)
-            .withColumn("more", (F.col("last.before") + up_to - F.col("size") / 2 < F.col("budget")).cast("long")))
+    edge = placed.filter(at == end).withColumn("before", F.col("last.before").cast("double")).drop("bin", "last")
     rest = placed.filter(~at.eqNullSafe(end)).withColumn("more", F.coalesce(at < end, F.lit(True)).cast("long"))
+    rest = rest.withColumn("before", F.lit(None).cast("double")).drop("bin", "last")
+    for decided in _refined(edge, names):
+        rest = rest.unionByName(decided.select(rest.columns))
     times = F.col("epochs") + F.when(F.col("budget") > 0, F.col("more")).otherwise(0)
-    return (edge.unionByName(rest).withColumn("epochs", times)
+    return (rest.withColumn("epochs", times)
             .select(F.col("id").alias(id), "size", "source_size", "target", "epochs",
                     (F.col("size") * F.col("epochs")).alias("taken"),
                     *[F.col(n).alias(c) for n, c in zip(names, keep)]))

@@ -230,6 +230,43 @@ def test_words_equal_the_tokenizer():
         assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
+def test_mixing_of_a_crowded_bin_is_cut_and_takes_the_same(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, "12 34 " * rng.randint(1, 4) + str(i % 900), "ab"[i % 3 > 0]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    columns = ("doc_id", "size", "source_size", "target", "taken")
+    want = found(mixing.mix(df), *columns)
+    for edge_rows, bins in ((20, 7), (1, 65_536)):
+        monkeypatch.setattr(mixing, "EDGE_ROWS", edge_rows)
+        if edge_rows > 1:
+            monkeypatch.setattr(mixing, "BINS", bins)
+        assert found(mixing.mix(df), *columns) == want
+        monkeypatch.undo()
+    assert {r[4] > 0 for r in want} == {True, False}
+
+
+def test_common_words_are_cut_before_the_shuffle(spark, docs):
+    for limit in (-1, 1 << 30):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        plans = []
+        was = quality.kept
+
+        def spy(df):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return was(df)
+
+        quality.kept = spy
+        try:
+            quality.common_words(docs, "text", "lang")
+        finally:
+            quality.kept = was
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        last = plans[-1]
+        assert last.count("WindowGroupLimit") == 2 and last.index("Final") < last.index("Partial")
+        between = last[last.index("WindowGroupLimit", last.index("Final")):last.rindex("WindowGroupLimit")]
+        assert "Join" not in between
+
+
 def test_mix(docs, rows):
     sizes, target = brute.op5_targets(rows)
     source = {r[0]: r[3] for r in rows}
