@@ -30,6 +30,8 @@ from shelfline.session import kept, width
 
 # A group of up to this many rows is left to a plain window.
 GROUP_ROWS = 4_000_000
+# Cells that keys are hashed to when hot ones are sought.
+_CELLS = 65_536
 # Rows looked at per edge when edges are sought.
 _LOOK = 2_000
 # Most edges per order column.
@@ -116,8 +118,8 @@ class OrderedGroups:
     """Neighbour and carry operations over ``keys`` in ``order``.
 
     ``order`` must be a total order within a key up to exact copies, of numbers, dates
-    or times without nulls. ``df`` is only measured: one aggregate of key counts finds the keys
-    holding more than max(``group_rows``, rows / width) rows. There are fewer
+    or times without nulls. ``df`` is only measured: rows are counted by a hash of their key, in few cells, and keys
+    by themselves only within cells that could hide one of more than max(``group_rows``, rows / width) rows. There are fewer
     than ``width`` of those, so their list is bounded. With none (the usual
     case) each operation is one window; all operations then share one shuffle
     and sort.
@@ -131,12 +133,15 @@ class OrderedGroups:
             if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
                 raise TypeError(f"order column {name!r} is {kind.simpleString()}; it must be a number, date or time")
         n = width(df.sparkSession)
-        counts = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
-        top = counts.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("top")).first()
+        cells = df.groupBy(F.pmod(F.xxhash64(*self.keys), F.lit(_CELLS)).alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"))
+        top = cells.agg(F.sum("_rows").alias("rows"), F.collect_list(
+            F.when(F.col("_rows") > group_rows, F.struct("_cell", "_rows"))).alias("full")).first()
         bound = max(group_rows, (top["rows"] or 0) // n)
+        full = [cell["_cell"] for cell in top["full"] if cell["_rows"] > bound]
         self.hot: Column | None = None
-        if (top["top"] or 0) > bound:
-            found = counts.filter(F.col("_rows") > bound).collect()
+        found = full and (df.filter(F.pmod(F.xxhash64(*self.keys), F.lit(_CELLS)).isin(full)).groupBy(*self.keys)
+                          .agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > bound).collect())
+        if found:
             kinds = {k: df.schema[k].dataType for k in self.keys}
             self.hot = F.struct(*self.keys).isin(*[
                 F.struct(*[F.lit(r[k]).cast(kinds[k]).alias(k) for k in self.keys])

@@ -15,9 +15,10 @@ A batch counts once its folder has Spark's mark of success; a half-written one i
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfline.operators.quality import dedup
@@ -30,15 +31,34 @@ _MANIFEST = "number bigint, table string, folded map<string,bigint>"
 Merge = Callable[[DataFrame], DataFrame]
 
 
+def listed(spark: SparkSession, pattern: str, cut: str | None = None) -> list[str]:
+    """Paths that fit a pattern, on whatever file system they lie; with ``cut`` only what follows its last place."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    paths = sorted(str(status.getPath()) for status in found or [])
+    return [p.rsplit(cut, 1)[1] for p in paths] if cut else paths
+
+
 def newest(keys: Sequence[str], order: Sequence[str], by_batch: bool = False) -> Merge:
     """Of each key the latest row by ``order``; with ``by_batch`` later batches come after earlier ones whatever they hold."""
     return lambda rows: dedup(rows, keys, [*(["_batch"] if by_batch else []), *order])
 
 
 def replaced(keys: Sequence[str]) -> Merge:
-    """Of each key all rows of the last batch that has any."""
-    last = F.max("_batch").over(Window.partitionBy(*keys))
-    return lambda rows: rows.withColumn("_last", last).filter("_batch = _last").drop("_last")
+    """Of each key all rows of the last batch that has any.
+
+    Rows of the last batch of all stay as they are. Of the others only those move that are to be compared, and for the
+    comparison one row per key and batch.
+    """
+    def merge(rows: DataFrame) -> DataFrame:
+        top = rows.agg(F.max("_batch")).first()[0]
+        last = rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
+        on = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in [*keys, "_batch"]]
+        stay = rows.filter(F.col("_batch") < top).alias("r").join(last.filter(F.col("_batch") < top).alias("l"), on, "left_semi")
+        return stay.unionByName(rows.filter(F.col("_batch") == top))
+
+    merge.whole = True  # the rows of one batch are merged as they are
+    return merge
 
 
 def added_up(keys: Sequence[str], measures: dict[str, Callable[[str], Column]]) -> Merge:
@@ -52,24 +72,27 @@ class BatchTable:
 
     ``merge`` takes stacked rows with the number of their batch in ``_batch`` to fewer rows of the same columns. It
     must not matter in how many steps rows are merged.
+
+    ``zone`` names a key column of few values, such as a month. Rows of a value that only one batch or table has are merged
+    already, so they are not shuffled when a table is read or folded.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], merge: Merge):
-        self.spark, self.path, self.keys, self.rows = spark, path.rstrip("/"), list(keys), schema
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], merge: Merge,
+                 zone: str | None = None):
+        self.spark, self.path, self.keys, self.rows, self.zone = spark, path.rstrip("/"), list(keys), schema, zone
+        self.whole = getattr(merge, "whole", False)
         self.schema = StructType([*schema.fields, StructField("_batch", LongType())])
         self.merge = lambda rows: merge(rows).select(*self.schema.names)
 
     def put(self, rows: DataFrame, stream: str, batch: int) -> None:
         """Store the merged rows of a batch in place of what the same batch stored before."""
         numbered = rows.select(*self.rows.names).withColumn("_batch", F.lit(batch).cast("bigint"))
-        self.merge(numbered).write.mode("overwrite").parquet(f"{self.path}/batches/{stream}/{batch}")
+        merged = numbered if self.whole else self.merge(numbered)
+        merged.write.mode("overwrite").parquet(f"{self.path}/batches/{stream}/{batch}")
 
     def _listed(self, pattern: str) -> list[str]:
-        """Paths below the table that fit a pattern, on whatever file system it lies."""
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
-        found = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(at)
-        return sorted(str(status.getPath()) for status in found or [])
+        """Paths below the table that fit a pattern."""
+        return listed(self.spark, f"{self.path}/{pattern}")
 
     def _current(self) -> tuple[int, str | None, dict[str, int]]:
         """Number, table and folded batches of the current generation."""
@@ -87,12 +110,32 @@ class BatchTable:
         found = [(s, int(b)) for s, b in parts if int(b) > (folded or {}).get(s, -1)]
         return [(s, b) for s, b in found if not before or s != before[0] or b < before[1]]
 
-    def _read(self, table: str | None, batches: list[tuple[str, int]]) -> DataFrame:
+    def _read(self, table: str | None, batches: list[tuple[str, int]], among: DataFrame | None = None) -> DataFrame:
+        """The merged rows of a table and batches. Each of them is merged in itself, so one alone is only read."""
         paths = [f"{self.path}/batches/{s}/{b}" for s, b in batches]
         paths += [f"{self.path}/tables/{table}"] if table else []
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        read = self.spark.read.schema(self.schema)
+
+        def asked(rows: DataFrame) -> DataFrame:
+            if among is None:
+                return rows
+            on = [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in self.keys]
+            return rows.alias("t").join(among.alias("k"), on, "left_semi")
+
+        rows = asked(read.parquet(*paths))
+        if len(paths) == 1:
+            return rows
+        if self.zone is None:
+            return self.merge(rows)
+        seen = [{r[0] for r in read.parquet(path).select(self.zone).distinct().collect()} for path in paths]
+        shared = [z for z, n in Counter(z for zones in seen for z in zones).items() if n > 1]
+        if not shared:
+            return rows
+        several = F.col(self.zone).isin([z for z in shared if z is not None]) | F.col(self.zone).isNull()
+        several = F.coalesce(several, F.lit(False))
+        return self.merge(rows.filter(several)).unionByName(rows.filter(~several))
 
     def read(self, before: tuple[str, int] | None = None, among: DataFrame | None = None) -> DataFrame:
         """The merged rows; ``before`` leaves out that batch of a stream and its later ones.
@@ -101,11 +144,7 @@ class BatchTable:
         only their rows are shuffled.
         """
         _, table, folded = self._current()
-        rows = self._read(table, self.batches(folded, before))
-        if among is not None:
-            rows = rows.alias("t").join(among.alias("k"), [F.col(f"t.{k}").eqNullSafe(F.col(f"k.{k}")) for k in self.keys],
-                                        "left_semi")
-        return self.merge(rows).select(*self.rows.names)
+        return self._read(table, self.batches(folded, before), among).select(*self.rows.names)
 
     def fold(self, before: tuple[str, int] | None = None, drop: bool = True) -> int:
         """Fold all whole batches into a new generation; returns its number, or the current one if there is none.
@@ -118,7 +157,7 @@ class BatchTable:
         batches = self.batches(folded, before)
         if batches:
             name = uuid.uuid4().hex
-            self.merge(self._read(table, batches)).write.parquet(f"{self.path}/tables/{name}")
+            self._read(table, batches).write.parquet(f"{self.path}/tables/{name}")
             for stream, batch in batches:
                 folded[stream] = max(batch, folded.get(stream, -1))
             number += 1

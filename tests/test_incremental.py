@@ -111,3 +111,34 @@ def test_a_broken_step_is_run_again(spark, monkeypatch):
     land(spark, root, "c", seen(5, 14.0))
     assert prices.step() == {"runs": 2, "rows": 3}
     agree(spark, prices, root)
+
+
+def test_a_run_again_with_the_same_rows_builds_nothing_anew(spark):
+    root = scratch(spark)
+    prices = incremental.PriceTables(spark, root)
+    first = [seen(31 * k, float(k + 1)) for k in range(5)]
+    land(spark, root, "01", *first)
+    prices.step()
+    land(spark, root, "2:x", seen(200, 3.0), seen(3, 7.0, 2))
+    assert prices.step() == {"runs": 1, "rows": 2}
+    silver = sorted(prices.prices().inputFiles())
+    land(spark, root, "01", *reversed(first))
+    land(spark, root, "2:x", seen(3, 7.0, 2), seen(200, 3.0))
+    assert prices.step() == prices.step() == {"runs": 0, "rows": 0}
+    assert sorted(prices.prices().inputFiles()) == silver
+    agree(spark, prices, root)
+
+
+def test_hot_and_many_keys_are_taken_in_alike(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "FEW_KEYS", 1)
+    for rows_of_hot in (4, 4_000_000):
+        monkeypatch.setattr(incremental.OrderedGroups.__init__, "__defaults__", (rows_of_hot,))
+        root = scratch(spark)
+        prices = incremental.PriceTables(spark, root)
+        land(spark, root, "a", *[seen(3 * k, float(k % 3 + 1)) for k in range(40)], seen(1, 2.0, 2), seen(1, 2.0, 3))
+        prices.step()
+        land(spark, root, "b", *[seen(k, float(k % 2 + 1)) for k in range(50)], seen(2, 2.0, 2), seen(3, 2.5, 2, None))
+        prices.step()
+        agree(spark, prices, root)
+        prices.fold()
+        agree(spark, prices, root)
