@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import (
-    BooleanType, LongType, MapType, StringType, StructField, StructType, TimestampType,
+    LongType, MapType, StringType, StructField, StructType, TimestampType,
 )
 
-from shelfline.session import scratch_scope
-
 AUDIT = StructType([
     StructField("run_id", StringType()), StructField("step", StringType()),
     StructField("started_at", TimestampType()), StructField("ended_at", TimestampType()),
@@ -25,22 +24,22 @@ def audited(spark: SparkSession, audit_path: str, run_id: str, step: str, source
             reject: Callable[[DataFrame], None]) -> dict[str, int]:
     """Run ``work`` (frame to rows with the rules they fail, see ``quality.checked``), write both kinds, log one audit row.
 
-    The source is read and worked on once: one job counts the rows that go in, out and to the side and writes them
-    with the flag ``_rejected`` as partition, from which ``write`` and ``reject`` each read their own part. A failed
-    step is logged with status "failed" and raises. The copy between goes when the step ends.
+    The source is read and worked on once: one job counts the rows that go in, out and to the side and holds them, in
+    memory and else on the executors' disks, from where ``write`` and ``reject`` each read their own part. A failed
+    step is logged with status "failed" and raises.
     """
     started, counts, status = datetime.now(timezone.utc), {}, "failed"
     try:
-        with scratch_scope(spark) as folder:
-            seen, split = Observation(f"{step}-in"), Observation(f"{step}-out")
-            rows = work(source.observe(seen, F.count(F.lit(1)).alias("rows")))
-            bad = F.size("failed") > 0
-            rows = rows.observe(split, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
-            rows.withColumn("_rejected", bad).write.partitionBy("_rejected").parquet(f"{folder}/rows")
-            both = spark.read.schema(StructType([*rows.schema.fields, StructField("_rejected", BooleanType())])).parquet(f"{folder}/rows")
-            write(both.filter("NOT _rejected").drop("failed", "_rejected"))
-            reject(both.filter("_rejected").drop("_rejected"))
-            counts = {"rows_in": seen.get["rows"], "rows_out": split.get["good"], "rows_rejected": split.get["bad"]}
+        seen = Observation(f"{step}-in")
+        bad = F.size("failed") > 0
+        rows = work(source.observe(seen, F.count(F.lit(1)).alias("rows"))).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            split = rows.agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad")).first()
+            write(rows.filter(~bad).drop("failed"))
+            reject(rows.filter(bad))
+        finally:
+            rows.unpersist()
+        counts = {"rows_in": seen.get["rows"], "rows_out": split["good"], "rows_rejected": split["bad"]}
         status = "done"
     finally:
         row = (run_id, step, started, datetime.now(timezone.utc), status, counts)

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A task that writes a few folders keeps a file open for each and need not sort its rows by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 _local_scratch: dict[str, str] = {}

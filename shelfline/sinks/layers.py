@@ -21,13 +21,14 @@ from shelfline.sources.tables import layer_path
 
 
 def _write(df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parquet",
-           whole: bool = False, **options) -> None:
+           whole: bool = False, few: bool = False, **options) -> None:
     """Overwrite the partitions present in ``df``, or with ``whole`` all the table has.
 
     The rebalance hint lets Spark split a hot partition over several tasks and
-    join small ones, so files come out in even sizes.
+    join small ones, so files come out in even sizes. With ``few``, for partition columns of a handful of values, rows
+    are not moved: each task writes a file per value.
     """
-    if partitions:
+    if partitions and not few:
         df = df.hint("rebalance", *partitions)
     (df.write.mode("overwrite").format(fmt).options(**options)
      .option("partitionOverwriteMode", "static" if whole else "dynamic")
@@ -47,15 +48,15 @@ def write_bronze(df: DataFrame, root: str, dataset: str, run_id: str, source: st
 
 
 def write_silver(df: DataFrame, root: str, dataset: str, partitions: Sequence[str] = (),
-                 whole: bool = False) -> None:
-    """Replace the written partitions of a silver table; all of it if it was rebuilt as a whole."""
-    _write(df, layer_path(root, "silver", dataset), partitions, whole=whole)
+                 whole: bool = False, few: bool = False) -> None:
+    """Replace the written partitions of a silver table; all of it if it was rebuilt as a whole. ``few`` as in ``_write``."""
+    _write(df, layer_path(root, "silver", dataset), partitions, whole=whole, few=few)
 
 
 def write_gold(df: DataFrame, root: str, mart: str, name: str,
-               partitions: Sequence[str] = (), whole: bool = False) -> None:
+               partitions: Sequence[str] = (), whole: bool = False, few: bool = False) -> None:
     """Replace the written partitions of a gold result table; all of it if it was rebuilt as a whole."""
-    _write(df, layer_path(root, "gold", f"{mart}/{name}"), partitions, whole=whole)
+    _write(df, layer_path(root, "gold", f"{mart}/{name}"), partitions, whole=whole, few=few)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:

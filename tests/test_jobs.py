@@ -90,3 +90,23 @@ def test_interfaces_from_gold(spark):
         assert jobs.gold(spark, root, "price_analytics", name).count() > 0
     files = whole.inputFiles()
     assert files and all("/gold/" in f or "/gold/" not in f and root not in f for f in files)
+
+
+def test_repeated_runs_are_not_read_and_the_market_is_that_of_the_fixture(spark, monkeypatch):
+    root = scratch(spark)
+    jobs.load_bronze(spark, SF_DIR, root, "01")
+    jobs.deliver_again(spark, root, "01", "2")
+    landed = read_layer(spark, root, "bronze", "market_trends")
+    assert landed.groupBy("_run_id").count().count() == 2
+    market = {(r["category"], r["month"]): r["market_price"] for r in fx.market(spark, SF_DIR).collect()}
+    again = {(r["category"], r["month"]): r["market_price"] for r in landed.filter("_run_id = 2").collect()}
+    assert market.keys() == again.keys() and all(abs(market[k] - again[k]) < 1e-9 * market[k] for k in market)
+    read = []
+    dedup = quality.dedup
+    monkeypatch.setattr(quality, "dedup", lambda df, *a: read.append(
+        [r["_run_id"] for r in df.select("_run_id").distinct().collect()]) or dedup(df, *a))
+    sold = jobs._landed(spark, root, "internal", SALE, "sold_at", "amount")
+    assert read == [["2"]] and sold.count() == 6000
+    write_bronze(fx.sales(spark, SF_DIR).limit(10).withColumn("amount", F.lit(1.0)), root, "internal", "3", "sales")
+    late = jobs._landed(spark, root, "internal", SALE, "sold_at", "amount")
+    assert sorted(read[1]) == ["2", "3"] and late.count() == 6000 and late.filter("amount = 1.0").count() == 10
