@@ -4,7 +4,8 @@ Bronze is landed run by run. A step here takes the runs that it has not seen and
 
 * an *increment* of silver: the checked rows of these runs that no earlier increment has.
 * the increment's *states* in gold: sums, counts, extremes and latest rows, which merge with those of
-  earlier increments, and the whole history of the keys that the increment touches.
+  earlier increments, and the history of the keys that the increment touches, computed again from all their rows and
+  written from the interval in which its first price falls.
 
 New rows and earlier ones of the touched keys are shuffled once, by key; all of these tables are written from that one
 placing of the rows. A ledger says which runs are in, each with a mark of its files and one of its rows. A run that was
@@ -24,7 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from shelfline.functions.ordered import OrderedGroups
 from shelfline.operators import price, quality
 from shelfline.schemas import OBSERVED_ORDER, PRICE_OBSERVATION, schema_of
-from shelfline.session import dropped, kept, scratch_scope
+from shelfline.session import CODEC, dropped, kept, scratch_scope
 from shelfline.sources.tables import layer_path, read_layer
 from shelfline.streaming.generations import BatchTable, added_up, listed, newest, replaced
 
@@ -39,7 +40,8 @@ _SILVER = schema_of("product_id bigint, retailer_id bigint, observed_at timestam
                     "order_id bigint, line_no int, step int")
 _MONTHLY = schema_of("product_id bigint, retailer_id bigint, month timestamp, n bigint, total double, "
                      "min_price double, max_price double")
-_HISTORY = schema_of("product_id bigint, retailer_id bigint, price double, valid_from timestamp, valid_to timestamp")
+_HISTORY = schema_of("product_id bigint, retailer_id bigint, price double, valid_from timestamp, valid_to timestamp, "
+                     "since timestamp")
 
 
 def landed_runs(spark: SparkSession, root: str, dataset: str) -> dict[str, str]:
@@ -83,7 +85,7 @@ class PriceTables:
         extreme = lambda pick: lambda c: F.when(F.sum("n") > 1, pick(F.coalesce(F.col(c), F.col("total"))))
         self.monthly = table("monthly", _MONTHLY, monthly, added_up(
             monthly, {"n": F.sum, "total": F.sum, "min_price": extreme(F.min), "max_price": extreme(F.max)}), "month")
-        self.history = table("history", _HISTORY, KEYS, replaced(KEYS))
+        self.history = table("history", _HISTORY, KEYS, replaced(KEYS, "valid_to", "since"))
         self.tables = (self.current, self.monthly, self.history)
 
     def _increments(self, first: int, end: int) -> DataFrame:
@@ -153,7 +155,7 @@ class PriceTables:
             single = placed.groupBy(*names).agg(F.min("_new").alias("_new")).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 added = single.filter("_new = 1").select(*names)
-                added.write.mode("overwrite").parquet(f"{self.path}/silver/step={number}")
+                added.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.path}/silver/step={number}")
                 self.current.put(added, _STREAM, number)
                 month = F.date_trunc("month", "observed_at")
                 self.monthly.put(added.withColumn("month", month).groupBy(*KEYS, "month").agg(
@@ -162,7 +164,10 @@ class PriceTables:
                 # A key whose rows all came before is not touched.
                 any_new = F.max("_new").over(Window.partitionBy(*KEYS))
                 whole = self._touched(single, added) if hot or few else single.withColumn("_any", any_new).filter("_any = 1")
-                self.history.put(price.price_history(whole.select(*names)), _STREAM, number)
+                # Intervals that end before the first new price are as they were.
+                since = added.agg(F.min(F.unix_micros("observed_at"))).first()[0]
+                changed = price.price_history(whole.select(*names)).withColumn("since", F.timestamp_micros(F.lit(since).cast("bigint")))
+                self.history.put(changed.filter("valid_to IS NULL OR valid_to >= since"), _STREAM, number)
             finally:
                 single.unpersist()
             entries += [(run, landed[run], contents.get(_run_id(run), _NONE)[0]) for run in new]
@@ -195,4 +200,4 @@ class PriceTables:
 
     def price_history(self) -> DataFrame:
         """Validity intervals of each price."""
-        return self._done(self.history)
+        return self._done(self.history).drop("since")

@@ -24,6 +24,9 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+# How files of lasting tables are compressed: about a fifth smaller than by Spark's default codec.
+CODEC = "zstd"
+
 _local_scratch: dict[str, str] = {}
 # The folder of the innermost ``scratch_scope``.
 _scope: ContextVar[str | None] = ContextVar("scope", default=None)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from shelfline.operators.quality import dedup
-from shelfline.session import kept
+from shelfline.session import CODEC, kept
 from shelfline.sources.tables import layer_path
 
 
@@ -30,6 +30,8 @@ def _write(df: DataFrame, path: str, partitions: Sequence[str], fmt: str = "parq
     """
     if partitions and not few:
         df = df.hint("rebalance", *partitions)
+    if fmt == "parquet":
+        options = {"compression": CODEC, **options}
     (df.write.mode("overwrite").format(fmt).options(**options)
      .option("partitionOverwriteMode", "static" if whole else "dynamic")
      .partitionBy(*partitions).save(path))
@@ -43,7 +45,7 @@ def write_bronze(df: DataFrame, root: str, dataset: str, run_id: str, source: st
     """
     stamped = (df.withColumn("_ingest_ts", F.current_timestamp())
                .withColumn("_source", F.lit(source)).withColumn("_run_id", F.lit(run_id)))
-    (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
      .partitionBy("_run_id").parquet(layer_path(root, "bronze", dataset)))
 
 

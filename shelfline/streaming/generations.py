@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from shelfline.operators.quality import dedup
-from shelfline.session import dropped
+from shelfline.session import CODEC, dropped
 
 DONE = "_SUCCESS"
 _MANIFEST = "number bigint, table string, folded map<string,bigint>"
@@ -44,18 +44,32 @@ def newest(keys: Sequence[str], order: Sequence[str], by_batch: bool = False) ->
     return lambda rows: dedup(rows, keys, [*(["_batch"] if by_batch else []), *order])
 
 
-def replaced(keys: Sequence[str]) -> Merge:
-    """Of each key all rows of the last batch that has any.
+def replaced(keys: Sequence[str], until: str, since: str) -> Merge:
+    """Of each key the rows that no later batch with that key replaces, for rows that follow each other along time.
 
-    Rows of the last batch of all stay as they are. Of the others only those move that are to be compared, and for the
-    comparison one row per key and batch.
+    A row ends at ``until``, null for the last of a key. ``since`` is the time, the same in all rows of a batch, up to which
+    the batch leaves earlier rows alone: it has of each of its keys the last row and all others that end at that time
+    or later; a batch without that time has all rows of its keys. So rows that end before it stay without being moved, and
+    the others are compared with the last rows of later batches. Merged rows count as one batch.
     """
     def merge(rows: DataFrame) -> DataFrame:
-        top = rows.agg(F.max("_batch")).first()[0]
-        last = rows.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
-        on = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in [*keys, "_batch"]]
-        stay = rows.filter(F.col("_batch") < top).alias("r").join(last.filter(F.col("_batch") < top).alias("l"), on, "left_semi")
-        return stay.unionByName(rows.filter(F.col("_batch") == top))
+        marks = sorted(map(tuple, rows.groupBy("_batch").agg(F.min(F.unix_micros(since))).collect()))
+        if len(marks) < 2:
+            return rows
+        # From each batch back, the first time from which a later one replaces rows; none if one replaces all.
+        top, first = marks[-1]
+        stays = F.col("_batch") == top
+        for batch, mark in reversed(marks[:-1]):
+            if first is not None:
+                stays = stays | ((F.col("_batch") == batch) & (F.unix_micros(until) < first))
+                first = None if mark is None else min(first, mark)
+        stays = F.coalesce(stays, F.lit(False))
+        later = rows.filter(F.col(until).isNull() & (F.col("_batch") > marks[0][0])).select(*keys, "_batch", since)
+        on = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in keys]
+        on += [F.col("l._batch") > F.col("r._batch"), F.coalesce(F.col(f"r.{until}") >= F.col(f"l.{since}"), F.lit(True))]
+        left = rows.filter(~stays).alias("r").join(later.alias("l"), on, "left_anti")
+        return left.unionByName(rows.filter(stays)).withColumns({
+            "_batch": F.lit(top).cast("bigint"), since: F.timestamp_micros(F.lit(first).cast("bigint"))})
 
     merge.whole = True  # the rows of one batch are merged as they are
     return merge
@@ -88,7 +102,7 @@ class BatchTable:
         """Store the merged rows of a batch in place of what the same batch stored before."""
         numbered = rows.select(*self.rows.names).withColumn("_batch", F.lit(batch).cast("bigint"))
         merged = numbered if self.whole else self.merge(numbered)
-        merged.write.mode("overwrite").parquet(f"{self.path}/batches/{stream}/{batch}")
+        merged.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.path}/batches/{stream}/{batch}")
 
     def _listed(self, pattern: str) -> list[str]:
         """Paths below the table that fit a pattern."""
@@ -157,7 +171,7 @@ class BatchTable:
         batches = self.batches(folded, before)
         if batches:
             name = uuid.uuid4().hex
-            self._read(table, batches).write.parquet(f"{self.path}/tables/{name}")
+            self._read(table, batches).write.option("compression", CODEC).parquet(f"{self.path}/tables/{name}")
             for stream, batch in batches:
                 folded[stream] = max(batch, folded.get(stream, -1))
             number += 1

@@ -142,3 +142,27 @@ def test_hot_and_many_keys_are_taken_in_alike(spark, monkeypatch):
         agree(spark, prices, root)
         prices.fold()
         agree(spark, prices, root)
+
+
+def test_history_is_written_from_the_first_new_price_on(spark):
+    root = scratch(spark)
+    prices = incremental.PriceTables(spark, root)
+    land(spark, root, "a", *[seen(3 * k, float(k % 3 + 1)) for k in range(40)], *[seen(k, 2.0 + k, 2, None) for k in range(9)])
+    prices.step()
+    # In time; without a change; late, between old prices; at the instant of an old price, and a new key.
+    for run, new in (("b", [seen(200, 5.0), seen(210, 6.0)]), ("c", [seen(220, 6.0), seen(30, 9.0, 2, None)]),
+                     ("d", [seen(100, 3.0)]), ("e", [seen(3, 7.0, 1, 1, 5), seen(4, 7.0, 3)])):
+        land(spark, root, run, *new)
+        prices.step()
+        agree(spark, prices, root)
+    batches = {b: spark.read.parquet(f"{prices.path}/history/batches/bronze/{b}").count() for _, b in prices.history.batches()}
+    # Forty and nine intervals; the last old one and the new ones; two keys from day 30 on, of which one has no change.
+    assert batches[0] == 49 and batches[1] == 3 and batches[2] < 40
+    prices.fold()
+    agree(spark, prices, root)
+    land(spark, root, "f", seen(300, 1.0), seen(310, 2.0, 3))
+    prices.step()
+    agree(spark, prices, root)
+    prices.fold()
+    agree(spark, prices, root)
+    assert prices.history.read().filter("since IS NULL").count() == 0
