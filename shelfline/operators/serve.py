@@ -133,12 +133,21 @@ def custom_report(sales: DataFrame, dims: Sequence[str], measures: Sequence[str]
     return dated.groupBy(*dims).agg(*[known[m].alias(m) for m in measures])
 
 
+def source_files(df: DataFrame) -> list[str]:
+    """The files a frame comes from, also those that Spark does not read again as it holds their rows."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    read = [leaf.relation() for leaf in map(leaves.apply, range(leaves.size()))
+            if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    held = [r.inputFiles() for r in read if r.getClass().getSimpleName() == "HadoopFsRelation"]
+    return sorted({*df.inputFiles(), *(f for files in held for f in files)})
+
+
 def source_mark(df: DataFrame) -> str:
     """A mark of the files a frame reads: their paths, sizes and times of change.
 
     Folders are listed once each, by the driver, and no data is read.
     """
-    files = df.inputFiles()
+    files = source_files(df)
     if not files:
         raise ValueError("only results of files can be kept by their sources")
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()

@@ -283,3 +283,18 @@ def test_interfaces_by_retailer_and_band(spark):
     found = serve.product_kpis(performance, scored, best, edges=[10.0], shares=shares).orderBy("product_id").collect()
     assert [(r["band"], r["band_best_seller_share"], r["best_seller_place"]) for r in found] == [
         (0, 0.0, None), (1, 1.0, 1), (None, 0.5, None)]
+
+
+def test_cached_result_of_rows_that_spark_holds(spark, tmp_path):
+    source, root = str(tmp_path / "held facts"), str(tmp_path / "cache")
+    spark.range(10).write.parquet(source)
+    asked = lambda: spark.read.parquet(source).agg(F.sum("id").alias("s"))
+    plain = serve.source_mark(asked())
+    held = serve.cached(asked(), "held_view")
+    try:
+        assert held.first()["s"] == 45 and not asked().inputFiles()
+        assert serve.source_mark(asked()) == plain
+        assert serve.cached_result(asked(), root, "sum").first()["s"] == 45
+    finally:
+        held.unpersist()
+        spark.catalog.dropTempView("held_view")
