@@ -370,6 +370,23 @@ def test_repeats_removed_with_pieces_and_edges(spark, monkeypatch):
     assert found(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(brute.op7(rows), key=repr)
 
 
+def test_planted_passages_go_by_bytes_not_words(spark):
+    """Of passages of over 50 words in several documents those of 400 bytes go; n_bytes is the input's and tells nothing."""
+    rng = random.Random(23)
+    words = lambda n, size: " ".join("".join(rng.choices("abcdefghijklmnop", k=size)) for _ in range(n))
+    long, short = words(60, 6), words(55, 5)
+    assert len(long) >= 400 > len(short) + 2
+    kinds = [(long, short, None)[i % 3] for i in range(30)]
+    rows = [(i, f"{words(40 + i, 6)} {p or words(60, 6)} {words(50, 6)}") for i, p in enumerate(kinds)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: r for r in suffixes.remove_repeats(df).collect()}
+    for (i, text), passage in zip(rows, kinds):
+        assert out[i]["n_bytes"] == len(text.encode())
+        assert (out[i]["n_removed"] > 0) == (passage is long)
+        assert (long.encode() in out[i]["kept_bytes"]) is False
+        assert (bytes(out[i]["kept_bytes"]) == text.encode()) == (passage is not long)
+
+
 def test_repeats_odd_and_empty(odd, empty):
     plain = [(r["doc_id"], r["text"]) for r in odd.collect()]
     out = suffixes.remove_repeats(odd).withColumn("kept_sha256", F.sha2("kept_bytes", 256))
