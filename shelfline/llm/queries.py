@@ -49,10 +49,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated byte strings removed; ``kept_text`` is what is left, cut characters replaced."""
+    """Repeated byte strings removed; ``kept_text`` is what is left, cut characters replaced.
+
+    ``n_shared_words`` counts the words in passages of over 50 words that other documents hold too, also where they are too short for removal.
+    """
     out = suffixes.remove_repeats(documents(spark, sf_dir))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"),
-                      F.make_valid_utf8(F.col("kept_bytes").cast("string")).alias("kept_text"))
+                      F.make_valid_utf8(F.col("kept_bytes").cast("string")).alias("kept_text"), "n_shared_words")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

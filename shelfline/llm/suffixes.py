@@ -15,11 +15,16 @@ so far. The steps of the difference-cover algorithm serve that, adapted to many
   from lo to hi + LENGTH, occurs again, all of them are repeated.
 * *Adjacent prefixes.* Only where a name is shared but a class is not are single suffixes compared, on their first
   LENGTH bytes, with one representative of every other class of that name.
+
+The same steps over words instead of bytes find passages of over 50 words that other documents hold too (``PASSAGES``); these
+are reported, not removed. What strings are made of is a ``Unit``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,22 +32,47 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from shelfline.llm.common import by_batches
-from shelfline.session import kept
+from shelfline.session import dropped, kept, scratch
 
 LENGTH = 400
-# Suffixes of which one is sampled; WINDOW - 1 + 243 bytes must lie within LENGTH.
-WINDOW = 128
-_LEVELS, _SAMPLED_BY = 5, 3
 # Start positions worked on at once: bounds the memory of a worker whatever the text's size.
 _SLAB = 1 << 18
 _PLACE = np.uint64((1 << 24) - 1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_hashes(data: bytes) -> bytes:
+    """A hash of 8 bytes for each word, worked out piece by piece."""
+    parts, at = [], 0
+    while at < len(data):
+        gap = _SPACE.search(data, at + _SLAB)
+        end = gap.start() if gap else len(data)
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, data[at:end].split()), np.uint64).tobytes())
+        at = end
+    return b"".join(parts)
+
+
+class Unit(NamedTuple):
+    """What strings are made of, and which of them count as repeated."""
+
+    read: Callable[[bytes], bytes]  # the units of a text, one after the other
+    size: int  # bytes of a unit
+    length: int  # units of a string
+    window: int  # suffixes of which one is sampled; window - 1 + 3 ** levels units must lie within length
+    levels: int
+    sampled_by: int
+    apart: bool  # strings count if another document holds them, else if they start anywhere else
+
 
+BYTES = Unit(bytes, 1, LENGTH, 128, 5, 3, False)
+PASSAGES = Unit(word_hashes, 8, 51, 32, 2, 1, True)
 
-def names(data: np.ndarray) -> list[np.ndarray]:
-    """Names of all suffixes at each level; a level's triple spans three times the bytes of the one before."""
+
+def names(data: np.ndarray, levels: int) -> list[np.ndarray]:
+    """Names of all suffixes at each level; a level's triple spans three times the units of the one before."""
     out, name, step = [], data.astype(np.uint64), 1
-    for _ in range(_LEVELS):
+    for _ in range(levels):
         n = len(name) - 2 * step
         if n <= 0:
             break
@@ -66,27 +96,27 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def classes(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def classes(data: bytes, starts: np.ndarray, unit: Unit = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of the ascending start positions: first, last, name of the sampled suffix."""
-    levels = names(np.frombuffer(data, np.uint8))
-    by = levels[_SAMPLED_BY - 1]
+    levels = names(np.frombuffer(data, f"u{unit.size}"), unit.levels)
+    by = levels[unit.sampled_by - 1]
     places = _PLACE - np.arange(len(by), dtype=np.uint64)  # of equal names, the rightmost is least
-    least = _least(by & ~_PLACE | places, WINDOW)[starts]
+    least = _least(by & ~_PLACE | places, unit.window)[starts]
     sampled = (_PLACE - (least & _PLACE)).astype(np.int64)
     new = np.flatnonzero(np.r_[True, (np.diff(sampled) != 0) | (np.diff(starts) != 1)])
     return (starts[new], starts[np.r_[new[1:] - 1, len(starts) - 1]],
-            levels[_LEVELS - 1][sampled[new]].view(np.int64))
+            levels[unit.levels - 1][sampled[new]].view(np.int64))
 
 
-def _slabs(rows: Iterator[tuple[int, int, bytes]]):
-    """Pieces of texts put together: bytes, start positions, and per piece where it begins, whose it is."""
+def _slabs(rows: Iterator[tuple[int, int, bytes]], unit: Unit):
+    """Pieces of texts put together: units, start positions, and per piece where it begins, whose it is."""
     parts, owners, size = [], [], 0
     for k1, k2, data in rows:
-        for at in range(0, len(data) - LENGTH + 1, _SLAB):
-            piece = data[at:at + _SLAB + LENGTH - 1]
+        for at in range(0, len(data) // unit.size - unit.length + 1, _SLAB):
+            piece = data[at * unit.size:(at + _SLAB + unit.length - 1) * unit.size]
             parts.append(piece)
             owners.append((size, k1, k2, at))
-            size += len(piece)
+            size += len(piece) // unit.size
             if size >= _SLAB:
                 yield b"".join(parts), owners
                 parts, owners, size = [], [], 0
@@ -98,18 +128,19 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def class_rows(docs: DataFrame) -> DataFrame:
+def class_rows(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """Classes of all texts: name, whole (hash of the class's string), owner (k1, k2), lo and hi in the text."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (t.encode() for t in batch.column("text").to_pylist())
-            for data, owners in _slabs(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), texts)):
+            texts = (unit.read(t.encode()) for t in batch.column("text").to_pylist())
+            for data, owners in _slabs(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), texts), unit):
                 begins = np.array([o[0] for o in owners])
-                ends = np.r_[begins[1:], len(data)]
-                starts = np.concatenate([np.arange(a, b - LENGTH + 1) for a, b in zip(begins, ends)])
-                lo, hi, name = classes(data, starts)
+                ends = np.r_[begins[1:], len(data) // unit.size]
+                starts = np.concatenate([np.arange(a, b - unit.length + 1) for a, b in zip(begins, ends)])
+                lo, hi, name = classes(data, starts, unit)
                 digest = xxhash.xxh3_64_intdigest
-                whole = np.array([digest(data[a:b]) for a, b in zip(lo.tolist(), (hi + LENGTH).tolist())], np.uint64)
+                whole = np.array([digest(data[a:b]) for a, b in zip((lo * unit.size).tolist(),
+                                                                    ((hi + unit.length) * unit.size).tolist())], np.uint64)
                 piece = np.searchsorted(begins, lo, side="right") - 1
                 shift = np.array([o[3] for o in owners])[piece] - begins[piece]
                 yield pa.RecordBatch.from_arrays(
@@ -122,99 +153,147 @@ def class_rows(docs: DataFrame) -> DataFrame:
                       "name long, whole long, k1 long, k2 long, lo int, hi int")
 
 
-def _strings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The byte strings of the wanted classes: name, n, k1, k2, lo, data."""
+# What goes with the string of a class: how many there are, whether they are repeated, the least and greatest holder.
+_CLASS = ("name", "whole", "n", "repeated", "least", "most")
+
+
+def _strings(docs: DataFrame, wanted: DataFrame, unit: Unit) -> DataFrame:
+    """The strings of the wanted classes: _CLASS, k1, k2, lo, data."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for k1, k2, text, asked in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "asked")]):
-                data = text.encode()
-                rows += [(a["name"], a["n"], k1, k2, a["lo"], data[a["lo"]:a["hi"] + LENGTH]) for a in asked]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            columns = list(zip(*rows)) or [[]] * 6
+                data = unit.read(text.encode())
+                rows += [(*[a[c] for c in _CLASS], k1, k2, a["lo"],
+                          data[a["lo"] * unit.size:(a["hi"] + unit.length) * unit.size]) for a in asked]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(),
+                     pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            columns = list(zip(*rows)) or [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["name", "n", "k1", "k2", "lo", "data"])
+                                             [*_CLASS, "k1", "k2", "lo", "data"])
 
-    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("name", "n", "lo", "hi")).alias("asked"))
+    asked = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct(*_CLASS, "lo", "hi")).alias("asked"))
     joined = docs.select("k1", "k2", "text").join(asked.hint("shuffle_hash"), ["k1", "k2"])
-    return by_batches(joined, work, "name long, n long, k1 long, k2 long, lo int, data binary")
+    return by_batches(joined, work, "name long, whole long, n long, repeated boolean, least long, most long, "
+                      "k1 long, k2 long, lo int, data binary")
 
 
-def _prefixes(strings: DataFrame, owned: bool) -> DataFrame:
-    """Each suffix of the classes' strings with the hash of its first LENGTH bytes."""
+def _prefixes(strings: DataFrame, unit: Unit, carried: list[str], placed: bool = False) -> DataFrame:
+    """Each suffix of the classes' strings with the hash of its first units, the carried columns and, if asked, its place."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, size, span = xxhash.xxh3_64_intdigest, unit.size, unit.length * unit.size
         for batch in batches:
             data = batch.column("data").to_pylist()
-            counts = np.array([len(d) - LENGTH + 1 for d in data], np.int64)
-            hashes = np.array([digest(d[i:i + LENGTH]) for d in data for i in range(len(d) - LENGTH + 1)], np.uint64)
-            many = lambda c: np.repeat(batch.column(c).to_numpy(), counts)
-            columns = {"name": many("name"), "prefix": hashes.view(np.int64)}
-            if owned:
+            counts = np.array([(len(d) - span) // size + 1 for d in data], np.int64)
+            hashes = np.array([digest(d[i:i + span]) for d in data for i in range(0, len(d) - span + 1, size)], np.uint64)
+            columns = {"prefix": hashes.view(np.int64)}
+            columns |= {c: np.repeat(batch.column(c).to_numpy(), counts) for c in carried}
+            if placed:
                 within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                columns |= {"k1": many("k1"), "k2": many("k2"), "start": (many("lo") + within).astype(np.int32)}
+                columns["at"] = within.astype(np.int32)
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns.values())), list(columns))
 
-    return by_batches(strings, work, "name long, prefix long" + ", k1 long, k2 long, start int" * owned)
+    kinds = [f"{c} {strings.schema[c].dataType.simpleString()}" for c in carried]
+    return by_batches(strings.select(*carried, "data"), work, ", ".join(["prefix long", *kinds] + ["at int"] * placed))
+
+
+def _of_shared_names(rows: DataFrame, told: str) -> DataFrame:
+    """Class rows whose name is not settled by itself. All rows are worked out once and written until that is known."""
+    spark, path = rows.sparkSession, scratch(rows.sparkSession)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    names = rows.groupBy("name").agg(F.expr(told).alias("told")).filter("told").select("name")
+    out = kept(rows.join(names.hint("shuffle_hash"), "name", "left_semi"))
+    dropped(spark, path)
+    return out
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Strings of repeated bytes, as rows (k1, k2, start, end), of texts with keys k1 and k2.
+def repeated_spans(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """Strings of repeated units, as rows (k1, k2, start, end), of texts with keys k1 and k2.
 
     Spans of a text may overlap. Copies of a string are counted before anything is joined, and joins are on names
-    and keys only, so a passage in a third of all documents is a hot key that Spark splits.
+    and keys only, so a passage in a third of all documents is a hot key that Spark splits. Documents are told
+    apart by k1.
     """
-    rows = class_rows(docs)
+    rows = _of_shared_names(class_rows(docs, unit), "min(k1) <> max(k1)" if unit.apart else "count(1) > 1")
+    holders = [F.min("k1").alias("least"), F.max("k1").alias("most")] if unit.apart else []
     found = kept(rows.groupBy("name", "whole").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "lo", "hi")]))
-    again = found.filter("n > 1").select("name", "whole")
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "lo", "hi")], *holders))
+    if unit.apart:
+        found = found.withColumn("repeated", F.expr("least <> most"))
+    else:  # each class is a holder of its own
+        found = found.withColumns({"repeated": F.expr("n > 1"), "least": F.col("whole"), "most": F.col("whole")})
+    mixed = found.groupBy("name").agg(F.min("least").alias("least"), F.max("most").alias("most"),
+                                      F.min("repeated").alias("all")).filter("least <> most AND NOT all").select("name")
+    wanted = kept(found.join(mixed, "name", "left_semi").select(*_CLASS, "k1", "k2", "lo", "hi"))
+    strings = kept(_strings(docs, wanted, unit))
+    held = ["name", "least", "most"] if unit.apart else ["name"]
+    told = F.expr("min(least) <> max(most)" if unit.apart else "count(1) > 1").alias("told")
+    shared = kept(_prefixes(strings, unit, held).groupBy("name", "prefix").agg(told).filter("told").select("name", "prefix"))
+    single = (_prefixes(strings.filter("NOT repeated"), unit, ["name", "whole", "n", "k1", "k2", "lo"], True)
+              .join(shared, ["name", "prefix"]))
+    again = found.filter("repeated").select("name", "whole", F.lit(None).cast("int").alias("at"))
+    if unit.apart:  # one document can hold several strings of a class that others hold in part
+        single = kept(single)
+        again = again.unionByName(single.filter("n > 1").select("name", "whole", "at"))
     settled = kept(rows.join(again, ["name", "whole"]).select(
-        "k1", "k2", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("end")).distinct())
-    mixed = found.groupBy("name").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).filter(
-        "classes > 1 AND least = 1")
-    wanted = kept(found.join(mixed, "name", "left_semi").select("name", "n", "k1", "k2", "lo", "hi"))
-    strings = kept(_strings(docs, wanted))
-    shared = kept(_prefixes(strings.select("name", "data"), False).groupBy("name", "prefix")
-                  .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "prefix"))
-    single = (_prefixes(strings.filter("n = 1"), True).join(shared, ["name", "prefix"])
-              .select("k1", "k2", "start", (F.col("start") + LENGTH).alias("end")))
-    return settled.unionByName(single)
+        "k1", "k2", F.expr("lo + coalesce(at, 0)").alias("start"),
+        (F.expr("coalesce(lo + at, hi)") + unit.length).alias("end")).distinct())
+    return settled.unionByName(single.filter("n = 1").select(
+        "k1", "k2", F.expr("lo + at").alias("start"), (F.expr("lo + at") + unit.length).alias("end")))
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document ``id``, n_bytes, n_removed, n_spans, spans (maximal removed runs) and kept_bytes.
+    """Per document ``id``, n_bytes, n_removed, n_spans, spans (maximal removed runs), kept_bytes, n_shared_words and passages.
 
     Strings are judged on the input. Each of several equal strings goes, in one document or many, so all copies of a
     text of LENGTH bytes or more are emptied. A null text is empty, shorter texts stay whole; repeated rows
     count as copies and get a row each. What is kept may cut through characters, so it is binary.
+    Passages are the maximal runs of words, by their numbers, covered by strings of over 50 words that another
+    document holds too, whatever stands between the words and however many bytes they have. They are only
+    reported. Rows that agree in id and text are one document.
     """
     taken = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                         F.xxhash64(id, text).alias("k1"), F.xxhash64(F.lit(1), text, id).alias("k2"))
-    found = repeated_spans(taken.filter(F.octet_length("text") >= LENGTH))
-    by_text = kept(found.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("found")))
+    spans = [repeated_spans(taken.filter(F.octet_length("text") >= least), unit).withColumn("shared", F.lit(unit.apart))
+             for unit, least in ((BYTES, LENGTH), (PASSAGES, 2 * PASSAGES.length - 1))]
+    by_text = kept(spans[0].unionByName(spans[1]).groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("shared", "start", "end")).alias("found")))
+
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def runs_of(row: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
+        """Maximal runs of the spans of n rows, as lists, and the units in them."""
+        place = row << 32  # orders the spans of all rows, none reaches into the next row
+        order = np.argsort(place + start)
+        first, last = (place + start)[order], np.maximum.accumulate((place + end)[order])
+        new = np.flatnonzero(np.r_[True, first[1:] > last[:-1]][:len(first)])
+        first, last = first[new], last[np.r_[new[1:] - 1, len(last) - 1][:len(new)]]
+        offsets = np.searchsorted(first, np.arange(n + 1) << 32)
+        inside = np.diff(np.r_[0, np.cumsum(last - first)][offsets])
+        pairs = pa.StructArray.from_arrays([pa.array((x & 0xFFFFFFFF).astype(np.int32)) for x in (first, last)], ["start", "end"])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pairs).cast(span), inside
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for value, spans in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist()):
-                data, runs = value.encode(), []
-                for start, end in sorted((s["start"], s["end"]) for s in spans or ()):
-                    if runs and start <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], end)
-                    else:
-                        runs.append([start, end])
-                edges = [0, *(e for run in runs for e in run), len(data)]
-                rest = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((len(data), len(data) - len(rest), len(runs),
-                            [{"start": a, "end": b} for a, b in runs], rest))
-            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), span, pa.binary()]
-            columns = list(zip(*out)) or [[]] * 5
+            n, spans = batch.num_rows, batch.column("found").flatten()
+            row = np.repeat(np.arange(n), batch.column("found").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            start, end = (spans.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
+            shared = spans.field("shared").to_numpy(zero_copy_only=False).astype(bool)
+            gone, n_gone = runs_of(row[~shared], start[~shared], end[~shared], n)
+            passages, n_words = runs_of(row[shared], start[shared], end[shared], n)
+            texts = [t.encode() for t in batch.column("text").to_pylist()]
+            rest = list(texts)
+            for i in np.flatnonzero(n_gone).tolist():
+                edges = [0, *(e for run in gone[i].as_py() for e in run.values()), len(texts[i])]
+                rest[i] = b"".join(texts[i][a:b] for a, b in zip(edges[::2], edges[1::2]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                ["id", "n_bytes", "n_removed", "n_spans", "spans", "kept_bytes"])
+                [batch.column("id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(n_gone),
+                 gone.value_lengths().cast(pa.int64()), gone, pa.array(rest, pa.binary()), pa.array(n_words), passages],
+                ["id", "n_bytes", "n_removed", "n_spans", "spans", "kept_bytes", "n_shared_words", "passages"])
 
     kind = taken.schema["id"].dataType.simpleString()
     joined = taken.join(by_text.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "text", "found")
     return by_batches(joined, work, f"id {kind}, n_bytes long, n_removed long, n_spans long, "
-                      "spans array<struct<start:int,end:int>>, kept_bytes binary").withColumnRenamed("id", id)
+                      "spans array<struct<start:int,end:int>>, kept_bytes binary, n_shared_words long, "
+                      "passages array<struct<start:int,end:int>>").withColumnRenamed("id", id)

@@ -107,6 +107,21 @@ def op7(rows, length=400):
         yield d, len(t), sum(gone), runs, sha(bytes(b for b, g in zip(t, gone) if not g))
 
 
+def shared_words(rows, length=51):
+    """Words in strings of so many words that another document holds too; rows that agree in id and text are one."""
+    words = [(r[1] or "").encode().split() for r in rows]
+    holders = defaultdict(set)
+    for (d, text, *_), w in zip(rows, words):
+        for i in range(len(w) - length + 1):
+            holders[tuple(w[i:i + length])].add((d, text))
+    for (d, *_), w in zip(rows, words):
+        hit = bytearray(len(w))
+        for i in range(len(w) - length + 1):
+            if len(holders[tuple(w[i:i + length])]) > 1:
+                hit[i:i + length] = b"\1" * length
+        yield d, sum(hit), [m.span() for m in re.finditer(b"\1+", bytes(hit))]
+
+
 def op8_base(rows):
     for d, t, *_ in rows:
         t = t or ""
