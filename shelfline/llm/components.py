@@ -10,23 +10,31 @@ from shelfline.session import kept
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for all nodes of links (a, b).
 
-    Each round hangs every larger neighbour of a node on the node's smallest neighbour (large
-    star), then every smaller one and the node itself (small star), until nothing changes: about
-    log(n) rounds. A round is two aggregates with map-side combining and two joins whose hot keys
-    Spark splits; only the number of links and a checksum reach the driver. Null ends and loops are left out.
+    Each round hangs every smaller neighbour of a node and the node itself on its smallest neighbour
+    (small star), then every larger one (large star): about log(n) rounds. Links that have become stars
+    need none: there a node has larger neighbours only or a single one. A round is two aggregates with
+    map-side combining and two joins; one truth value reaches the driver. Links may repeat; null ends and
+    loops are left out.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges, mark = kept(edges.distinct()), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state[0] == 0 or state == mark:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = state
-        both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        large = kept(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = kept(small.union(low.select("u", "m")).distinct())
+    edges = kept(edges.distinct())
+    while not _stars(edges):
+        low = edges.groupBy("u").agg(F.min("v").alias("m"))
+        small = edges.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.union(low.select("u", "m"))
+        low = _both_ways(small).groupBy("u").agg(F.min("v").alias("m"))
+        # Written, so that a small one is broadcast and else both sides come straight from a shuffle: Spark can split a hub.
+        low = kept(low.select(F.col("u").alias("v"), F.least("u", "m").alias("m")))
+        edges = kept(small.join(low, "v").select("u", F.col("m").alias("v")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Each edge (u, v) from both of its ends."""
+    return edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether edges from larger to smaller nodes are stars around their smallest nodes."""
+    ends = _both_ways(edges).groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    return not ends.agg(F.expr("bool_or(least < u and least < most)")).first()[0]

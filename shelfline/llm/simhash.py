@@ -95,7 +95,7 @@ def shared_variants(folded: DataFrame) -> DataFrame:
 
 
 def links(folded: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """Links (a, b) between distinct fingerprints at most BITS bits apart.
+    """Links (a, b) between distinct fingerprints at most BITS bits apart; a link comes once for each key that has it.
 
     Every such pair is joined by a link or by a chain of links; crowded variants give stars
     instead of pairs.
@@ -122,7 +122,7 @@ def links(folded: DataFrame, crowd: int = CROWD) -> DataFrame:
                                             F.collect_set("fingerprint").alias("group"))
              .filter(F.size("group") > 1)
              .select("a", F.explode("group").alias("b")).filter("a <> b"))
-    return pairs.unionByName(stars).distinct()
+    return pairs.unionByName(stars)
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
@@ -134,12 +134,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text",
     component too, which is null only if no other id is in it.
     """
     prints = kept(fingerprints(docs, id, text))
-    folded = kept(prints.groupBy("fingerprint").agg(F.min(id).alias("first")))
-    found = components(kept(links(folded, crowd)))
-    named = (folded.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-             .withColumn("root", F.coalesce("root", "fingerprint")))
-    firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = kept(named.join(firsts, "root").select("fingerprint", "component_id"))
-    return (prints.join(named, "fingerprint")
+    found = components(links(prints.select("fingerprint").distinct(), crowd)).toDF("fingerprint", "_root")
+    rooted = (prints.join(found, "fingerprint", "left")
+              .withColumn("_root", F.coalesce("_root", "fingerprint")))
+    # Written, so that both sides of the join on it come straight from a shuffle and Spark can split a hot root.
+    firsts = kept(rooted.groupBy("_root").agg(F.min(id).alias("component_id")))
+    return (rooted.join(firsts, "_root")
             .select(id, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                     "component_id"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.llm import (bpe, licenses, mixing, quality, queries, secrets, sharding, simhash, suffixes, wavelet, winnow)
+from shelfline.llm import components as contraction
 from shelfline.llm.components import components
 from shelfline.session import kept
 
@@ -108,6 +109,53 @@ def test_components_of_a_chain(spark):
     assert all(roots[i] == 0 for i in range(1, 201)) and roots[501] == 500
 
 
+def test_components_of_odd_shapes(spark):
+    rng = random.Random(11)
+    names = rng.sample(range(-10_000, 10_000), 900)
+    chain = list(zip(names[:150], names[1:150]))
+    hubs = [(min(names[200:300]), n) for n in names[200:300]] + [(n, max(names[300:400])) for n in names[300:400]]
+    ring = [(names[400 + i], names[400 + (i + 1) % 80]) for i in range(80)]
+    some = [(rng.choice(names[500:]), rng.choice(names[500:])) for _ in range(300)]
+    pairs = (chain + hubs + ring + some) * 2
+    parent = {n: n for pair in pairs for n in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    rng.shuffle(pairs)
+    got = found(components(spark.createDataFrame(pairs, "a long, b long")), "node", "root")
+    assert got == sorted(((n, root(n)) for n in parent if root(n) != n), key=repr)
+
+
+def test_components_need_few_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(contraction, "kept", lambda df: written.append(df) or kept(df))
+    stars = spark.range(300).select((F.col("id") + 5).alias("a"), (F.col("id") % 5).alias("b"))
+    assert components(stars.union(stars.select("b", "a"))).count() == 300
+    assert len(written) == 1  # stars need no round
+    written.clear()
+    ids = random.Random(4).sample(range(1000), 128)
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    assert {r["root"] for r in components(links).collect()} == {min(ids)}
+    assert len(written) <= 1 + 2 * 7  # log2 of the nodes
+
+
+def test_simhash_writes_links_once(spark, monkeypatch):
+    written = []
+    for module in (simhash, contraction):
+        monkeypatch.setattr(module, "kept", lambda df: written.append(df.columns) or kept(df))
+    texts = ["one two three four", "one two three four", "another text of some words", None]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["component_id"] for r in simhash.near_duplicates(few).orderBy("doc_id").collect()] == [0, 0, 2, 3]
+    # Fingerprints, shared variants, links and the least ids of the components.
+    assert written == [["doc_id", "fingerprint"], ["variant", "fingerprint", "n"], ["u", "v"], ["_root", "component_id"]]
+
+
 def test_licenses(docs, empty, odd):
     out = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
     assert out[26]["licenses"] == ["MIT"] and out[27]["licenses"] == ["Apache-2.0"]
